@@ -12,6 +12,7 @@ from partysieve.catalog.fixtures import (
 )
 from partysieve.catalog.fixtures import (
     derive,
+    derived_extract,
     dimension,
     dimensions,
     extract,
@@ -80,7 +81,7 @@ def with_parents(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def src_scan(spark, sf):
-    return plain(extract(spark, sf))
+    return plain(derived_extract(spark, sf))
 
 
 @query

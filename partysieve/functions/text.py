@@ -17,7 +17,7 @@ def blank_to_null(c: Column) -> Column:
 
 def numeric_only(c: Column) -> Column:
     """Nothing is left after digits, sign, dot and space are deleted. True for NULL."""
-    return blank_to_null(F.translate(c, _NUMERIC_CHARS, " ")).isNull()
+    return F.coalesce(F.translate(c, _NUMERIC_CHARS, "") == "", F.lit(True))
 
 
 def append_text(c: Column, text: str | Column) -> Column:

@@ -49,10 +49,29 @@ def type_from_loan(df: DataFrame, pack: RulePack) -> DataFrame:
 
 
 def normalise_documents(df: DataFrame, pack: RulePack) -> DataFrame:
-    """The four row-local rules, in order."""
-    for rule in (type_from_number, pad_number, type_from_legacy, type_from_loan):
-        df = rule(df, pack)
-    return df
+    """The four row-local rules in order, as one decision per row.
+
+    No two act on the same row: the numbers have different lengths or the types differ,
+    and a row that R002 turned is no longer unknown for R020. Deciding once keeps the
+    conditions from nesting in one another.
+    """
+    kind, loan = F.col("doc_type_eval"), F.upper("product_name").isin(*pack.loan_products)
+    rule = (
+        F.when((kind == pack.unknown_type) & _numeric_of_length(8), F.lit("-R002"))
+        .when((kind == pack.national_type) & _numeric_of_length(7), F.lit("-R003"))
+        .when((kind == pack.legacy_type) & _numeric_of_length(8), F.lit("-R004"))
+        .when((kind == pack.unknown_type) & loan, F.lit("-R020"))
+    )
+    rule_of_row = F.col("_rule")
+    return df.withColumn("_rule", rule).withColumns({
+        "doc_type_eval": F.when(rule_of_row.isNotNull(), F.lit(pack.national_type))
+                          .otherwise(kind),
+        "doc_no_eval": F.when(rule_of_row == "-R003", pad_to_eight(F.col("doc_no_eval")))
+                        .otherwise(F.col("doc_no_eval")),
+        "rule_trace": F.when(rule_of_row.isNotNull(),
+                             append_text(F.col("rule_trace"), rule_of_row))
+                       .otherwise(F.col("rule_trace")),
+    }).drop("_rule")
 
 
 def override_doc_types(df: DataFrame, pack: RulePack) -> DataFrame:

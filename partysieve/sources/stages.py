@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _SETTING = "spark.checkpoint.dir"
 _local_root: str | None = None
@@ -43,11 +44,12 @@ class StageArea:
         self.spark = spark
         self.path = f"{root or checkpoint_root(spark)}/run-{uuid.uuid4().hex}"
         self.rows: dict[str, int] = {}
-        self._count = 0
+        self._paths: dict[str, str] = {}
 
     def new_path(self, name: str) -> str:
-        self._count += 1
-        return f"{self.path}/{self._count:02d}-{name}"
+        """A folder for a stage; a name that comes again stands for the new one."""
+        self._paths[name] = f"{self.path}/{len(self._paths):02d}-{name}-{uuid.uuid4().hex[:8]}"
+        return self._paths[name]
 
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         """Write the frame, note its row count, and return a frame that reads it."""
@@ -55,7 +57,15 @@ class StageArea:
         seen = Observation()
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
         self.rows[name] = seen.get["rows"]
-        return self.spark.read.schema(df.schema).parquet(path)
+        return self.read(name, df.schema)
+
+    def read(self, name: str, schema: StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(self._paths[name])
+
+    def has(self, name: str) -> bool:
+        """Whether the stage was written to its end and is still there."""
+        files, path = file_system(self.spark, f"{self._paths.get(name, self.path)}/_SUCCESS")
+        return files.exists(path)
 
     def clear(self) -> None:
         """Delete the folder, once nothing reads from it any more."""
