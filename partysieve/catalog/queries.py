@@ -613,9 +613,7 @@ def regimes_all(spark, sf):
     stages, product = StageArea(spark), dimension(spark, sf, "product")
     df = regimes.rate_by_watchlist(
         cleaned(spark, sf), product, dimension(spark, sf, "watchlist"), PACK)
-    df = stages.cut(df, "rated")
-    df = stages.cut(regimes.regime_by_document(df, product, PACK), "by-document")
-    df = stages.cut(regimes.regime_by_product(df, product, PACK), "by-product")
+    df = regimes.fill_missing_regimes(stages.cut(df, "rated"), product, PACK)
     return regimes.highest_regime(df).select(*REGIME)
 
 

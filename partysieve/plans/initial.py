@@ -11,8 +11,10 @@ from partysieve.functions.text import blank_to_null
 from partysieve.operators.ids import renumber
 from partysieve.pack import RulePack
 
-# A copied row keeps the id of its source until here; these columns tell the copies apart.
-ID_ORDER = ("record_id", "party_role", "note", "rule_trace", "active")
+# A copied row keeps the id of its source until here, and the rows added for parent policies
+# share the last id; the other columns tell them apart.
+ID_ORDER = ("record_id", "parent_policy_no", "doc_type_eval", "doc_no_eval", "party_role",
+            "note", "rule_trace", "active")
 
 
 def init_eval_columns(df: DataFrame, pack: RulePack) -> DataFrame:

@@ -12,6 +12,8 @@ from partysieve.pack import RulePack
 from partysieve.schema import NOT_COPIED_TO_HOLDER
 from partysieve.sources.tables import activity_lookup
 
+LAST_ID = (1 << 63) - 1
+
 
 def trim_activity(df: DataFrame) -> DataFrame:
     """Step 0: trim the activity code, blank becomes NULL."""
@@ -51,10 +53,13 @@ def holderless_policies(df: DataFrame, pack: RulePack) -> DataFrame:
         "policy_no", F.col("_product"), ROWS)
 
 
-def add_missing_holders(df: DataFrame, pack: RulePack) -> DataFrame:
+def add_missing_holders(
+    df: DataFrame, pack: RulePack, holderless: DataFrame | None = None
+) -> DataFrame:
     """Step 4, R001: every row of a policy without a holder is also added as holder."""
-    marked = attach(df, holderless_policies(df, pack), {"policy_no": F.col("policy_no")},
-                    ["_product"], name="_holderless")
+    keys = holderless_policies(df, pack) if holderless is None else holderless
+    marked = attach(df, keys, {"policy_no": F.col("policy_no")}, ["_product"],
+                    name="_holderless")
     sets = {c: F.lit(None) for c in NOT_COPIED_TO_HOLDER}
     sets |= {"party_role": F.lit(pack.holder), "rule_trace": F.lit("R001")}
     return copy_rows(marked, F.col("_holderless").isNotNull(), sets).drop("_holderless")
@@ -130,6 +135,16 @@ def parent_holder_rows(df: DataFrame, keys: DataFrame, pack: RulePack) -> DataFr
     })
 
 
+def add_parent_holders(df: DataFrame, pack: RulePack) -> DataFrame:
+    """R0041 and R040. The added rows have the greatest possible id until they are
+    renumbered; they overwrite what R0041 changes, so they are taken from the rows before."""
+    added = parent_holder_rows(
+        drop_generated_holders(df, pack), parent_holder_keys(df, pack), pack
+    ).withColumn("record_id", F.lit(LAST_ID))
+    kept = drop_generated_holders(deactivate_group_holders(df, pack), pack)
+    return kept.unionByName(added)
+
+
 def match_activity(df: DataFrame, activities: DataFrame, pack: RulePack) -> DataFrame:
     """Step 6: activity code by equal description, for the sources without codes."""
     codes = activity_lookup(activities, pack.activity_property).withColumn(
