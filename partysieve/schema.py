@@ -4,11 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+_TYPES: dict[str, DataType] = {
+    "STRING": StringType(), "INT": IntegerType(), "BIGINT": LongType(), "DOUBLE": DoubleType(),
+    "DATE": DateType(), "TIMESTAMP_NTZ": TimestampNTZType(),
+    "MONEY": DecimalType(18, 2), "NUMBER": DecimalType(38, 0),
+}
+
+
+def _schema(columns: str) -> StructType:
+    """Build without a session, which reading DDL would need."""
+    pairs = (c.split() for c in columns.split(","))
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in pairs])
+
 
-PARTY_POLICY = StructType.fromDDL("""
+PARTY_POLICY = _schema("""
     record_id BIGINT, policy_no STRING, business_line STRING, currency_code STRING,
-    premium DECIMAL(18,2), pay_freq_code STRING, premium_total DECIMAL(18,2),
+    premium MONEY, pay_freq_code STRING, premium_total MONEY,
     party_name STRING, surname_1 STRING, surname_2 STRING,
     doc_type STRING, doc_no STRING, party_role STRING, nationality STRING,
     person_type STRING, line_code STRING, subline_code STRING, product_code STRING,
@@ -16,26 +40,26 @@ PARTY_POLICY = StructType.fromDDL("""
     regime_id INT, issue_date TIMESTAMP_NTZ, start_date TIMESTAMP_NTZ, end_date TIMESTAMP_NTZ,
     source_system STRING, region_raw STRING, nationality_eval STRING, region_eval STRING,
     region_id INT, product_name STRING, risk_id INT, product_key BIGINT, birth_date DATE,
-    actuarial_age INT, pay_period STRING, premium_collected DECIMAL(18,2),
-    activity_id_eval INT, premium_total_local DECIMAL(18,2), doc_type_eval STRING,
+    actuarial_age INT, pay_period STRING, premium_collected MONEY,
+    activity_id_eval INT, premium_total_local MONEY, doc_type_eval STRING,
     doc_no_eval STRING, note STRING, rule_trace STRING, created_at TIMESTAMP_NTZ,
     modified_at TIMESTAMP_NTZ, on_watchlist INT, active INT, party_name_eval STRING,
     surname_1_eval STRING, surname_2_eval STRING, activity_code_eval STRING,
-    regime_eval INT, parent_policy_no DECIMAL(38,0), source_file STRING, policy_status STRING
+    regime_eval INT, parent_policy_no NUMBER, source_file STRING, policy_status STRING
 """)
 
 DIMENSIONS = {
-    "product": StructType.fromDDL(
+    "product": _schema(
         "product_key BIGINT, line_code STRING, subline_code STRING, product_code STRING, "
         "product_name STRING, risk_id INT, regime_id INT, source_system STRING, is_group INT"
     ),
-    "doc_type": StructType.fromDDL("doc_type STRING, kind INT"),
-    "nationality": StructType.fromDDL("nationality_id INT, origin STRING, final_id INT"),
-    "region": StructType.fromDDL("code STRING, region_id INT"),
-    "watchlist": StructType.fromDDL(
+    "doc_type": _schema("doc_type STRING, kind INT"),
+    "nationality": _schema("nationality_id INT, origin STRING, final_id INT"),
+    "region": _schema("code STRING, region_id INT"),
+    "watchlist": _schema(
         "doc_type STRING, doc_no STRING, rating STRING, exposure DOUBLE"
     ),
-    "activity": StructType.fromDDL("code STRING, description STRING, property_id BIGINT"),
+    "activity": _schema("code STRING, description STRING, property_id BIGINT"),
 }
 
 # Columns that a holder row copied from a holderless policy does not take over.
