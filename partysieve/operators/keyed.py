@@ -50,8 +50,11 @@ def attach(
         F.col(ROWS),
     )
     hot = packed.where(F.col(ROWS) > hot_rows).select(*keys, F.col("_found").alias("_hot"))
+    # Zero, but not a literal: the optimizer would move a literal out of the join keys, and
+    # the rows would be shuffled by the key alone.
+    zero = F.least(F.col(ROWS), F.lit(0)).cast("int")
     cold = packed.where(F.col(ROWS) <= hot_rows).select(
-        *keys, F.lit(0).alias("_salt"), F.col("_found").alias("_cold"))
+        *keys, zero.alias("_salt"), F.col("_found").alias("_cold"))
 
     known = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
     for expr in on.values():
