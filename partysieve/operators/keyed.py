@@ -13,7 +13,7 @@ that was just aggregated. So keys are told apart by their row count:
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,13 +36,21 @@ def attach(
     name: str = HIT,
     hot_rows: int = HOT_ROWS,
     spread_by: Sequence[str] = ("record_id",),
+    cut: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
     """Add a struct column with the values of the row's key, NULL where there is none.
 
     `keyed` has one row per key, the columns named in `on`, the values, and the number
     of rows of that key in `df` as `_rows`. `on` maps its columns to expressions
     over `df`. Rows outside `eligible` are not matched.
+
+    With `cut` the keyed rows are written first. They are then there to be counted, and if
+    they are few, `df` is not shuffled at all.
     """
+    if cut is not None:
+        keyed = cut(keyed, "keyed")
+        if bounded(keyed.select(*on), BROADCAST_ROWS):
+            return _attach_small(df, keyed, on, values, eligible, name)
     keys = [f"_key{i}" for i in range(len(on))]
     packed = keyed.select(
         *[F.col(c).alias(k) for c, k in zip(on, keys)],
@@ -69,27 +77,6 @@ def attach(
     return out.select(*df.columns, F.coalesce("_hot", "_cold").alias(name))
 
 
-def apply_by_key(
-    df: DataFrame,
-    keyed: DataFrame,
-    on: Sequence[str],
-    sets: Mapping[str, str],
-    code: str | Column | None = None,
-    eligible: Column | None = None,
-    **options,
-) -> DataFrame:
-    """Write decided values (column -> value name) to all rows of their key."""
-    out = attach(df, keyed, {c: F.col(c) for c in on},
-                 _needed(keyed, on), eligible=eligible, **options)
-    out = rewrite_where(out, F.col(HIT).isNotNull(),
-                        {c: F.col(f"{HIT}.{v}") for c, v in sets.items()}, code)
-    return out.drop(HIT)
-
-
-def _needed(keyed: DataFrame, on: Sequence[str]) -> list[str]:
-    return [c for c in keyed.columns if c not in (*on, ROWS)]
-
-
 def one_per_key(dim: DataFrame, on: Sequence[str], values: Sequence[str],
                 order: Sequence[str] = ()) -> DataFrame:
     """Reduce to one row per key: the least by `order`, then by the values."""
@@ -122,12 +109,7 @@ def lookup(
     """
     unique = one_per_key(dim.where(_all_present(on)), list(on), values, order)
     if bounded(dim.select(*on), broadcast_rows):
-        keys = [f"_key{i}" for i in range(len(on))]
-        packed = unique.select(*[F.col(c).alias(k) for c, k in zip(on, keys)],
-                               F.struct(*values).alias(name))
-        exprs = [e if eligible is None else F.when(eligible, e) for e in on.values()]
-        out = df.withColumns(dict(zip(keys, exprs))).join(F.broadcast(packed), keys, "left")
-        return out.select(*df.columns, name)
+        return _attach_small(df, unique, on, values, eligible, name)
     rows = df if eligible is None else df.where(eligible)
     hot = (rows.groupBy(*[e.alias(c) for c, e in on.items()])
            .agg(F.count(F.lit(1)).alias(ROWS)).where(F.col(ROWS) > hot_rows))
@@ -136,6 +118,16 @@ def lookup(
     return attach(df, keyed, on, values, eligible, name, hot_rows, spread_by)
 
 
+def _attach_small(df, keyed, on, values, eligible, name) -> DataFrame:
+    """Left join by broadcast, for a table whose row count was checked."""
+    keys = [f"_key{i}" for i in range(len(on))]
+    packed = keyed.select(*[F.col(c).alias(k) for c, k in zip(on, keys)],
+                          F.struct(*values).alias(name))
+    exprs = [e if eligible is None else F.when(eligible, e) for e in on.values()]
+    out = df.withColumns(dict(zip(keys, exprs))).join(F.broadcast(packed), keys, "left")
+    return out.select(*df.columns, name)
+
+
 def _all_present(columns) -> Column:
     cond = F.lit(True)
     for c in columns:

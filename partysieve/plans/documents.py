@@ -158,7 +158,8 @@ def document_decisions(
 
 
 def resolve_documents(
-    df: DataFrame, pack: RulePack, rules: Sequence[str] = CONFLICT_RULES, regions: bool = False
+    df: DataFrame, pack: RulePack, rules: Sequence[str] = CONFLICT_RULES, regions: bool = False,
+    **options,
 ) -> DataFrame:
     """Write the decisions to all rows of each document, in one join.
 
@@ -167,7 +168,7 @@ def resolve_documents(
     """
     on = {"doc_no_eval": F.col("doc_no_eval")}
     out = attach(df, document_decisions(df, pack, rules, regions), on,
-                 ["doc_type", "code", "region"], eligible=has_document(pack))
+                 ["doc_type", "code", "region"], eligible=has_document(pack), **options)
     return out.withColumns({
         "doc_type_eval": F.coalesce("_hit.doc_type", "doc_type_eval"),
         "region_eval": F.coalesce("_hit.region", "region_eval"),

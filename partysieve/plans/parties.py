@@ -53,13 +53,10 @@ def holderless_policies(df: DataFrame, pack: RulePack) -> DataFrame:
         "policy_no", F.col("_product"), ROWS)
 
 
-def add_missing_holders(
-    df: DataFrame, pack: RulePack, holderless: DataFrame | None = None
-) -> DataFrame:
+def add_missing_holders(df: DataFrame, pack: RulePack, **options) -> DataFrame:
     """Step 4, R001: every row of a policy without a holder is also added as holder."""
-    keys = holderless_policies(df, pack) if holderless is None else holderless
-    marked = attach(df, keys, {"policy_no": F.col("policy_no")}, ["_product"],
-                    name="_holderless")
+    marked = attach(df, holderless_policies(df, pack), {"policy_no": F.col("policy_no")},
+                    ["_product"], name="_holderless", **options)
     sets = {c: F.lit(None) for c in NOT_COPIED_TO_HOLDER}
     sets |= {"party_role": F.lit(pack.holder), "rule_trace": F.lit("R001")}
     return copy_rows(marked, F.col("_holderless").isNotNull(), sets).drop("_holderless")
@@ -90,14 +87,14 @@ def parent_holder_keys(df: DataFrame, pack: RulePack) -> DataFrame:
     ).select("parent_policy_no", "doc_type_eval", "doc_no_eval").distinct()
 
 
-def deactivate_group_holders(df: DataFrame, pack: RulePack) -> DataFrame:
+def deactivate_group_holders(df: DataFrame, pack: RulePack, **options) -> DataFrame:
     """R0041: holders under a parent that has an active holder become inactive."""
     parents = df.where(_group_holder(pack)).groupBy("parent_policy_no").agg(
         F.count_if((F.col("active") == 1) & (F.col("parent_policy_no") > 0)).alias("_active"),
         F.count(F.lit(1)).alias(ROWS))
     marked = attach(df, parents.where(F.col("_active") > 0),
                     {"parent_policy_no": F.col("parent_policy_no")}, ["_active"],
-                    eligible=_group_holder(pack))
+                    eligible=_group_holder(pack), **options)
     return rewrite_where(marked, F.col("_hit").isNotNull(), {"active": F.lit(0)},
                          "-R0041").drop("_hit")
 
@@ -135,13 +132,13 @@ def parent_holder_rows(df: DataFrame, keys: DataFrame, pack: RulePack) -> DataFr
     })
 
 
-def add_parent_holders(df: DataFrame, pack: RulePack) -> DataFrame:
+def add_parent_holders(df: DataFrame, pack: RulePack, **options) -> DataFrame:
     """R0041 and R040. The added rows have the greatest possible id until they are
     renumbered; they overwrite what R0041 changes, so they are taken from the rows before."""
     added = parent_holder_rows(
         drop_generated_holders(df, pack), parent_holder_keys(df, pack), pack
     ).withColumn("record_id", F.lit(LAST_ID))
-    kept = drop_generated_holders(deactivate_group_holders(df, pack), pack)
+    kept = drop_generated_holders(deactivate_group_holders(df, pack, **options), pack)
     return kept.unionByName(added)
 
 

@@ -108,14 +108,15 @@ def policy_decisions(
 
 
 def resolve_policies(
-    df: DataFrame, pack: RulePack, rules: Sequence[str] = POLICY_RULES, keep_holder: bool = False
+    df: DataFrame, pack: RulePack, rules: Sequence[str] = POLICY_RULES, keep_holder: bool = False,
+    **options,
 ) -> DataFrame:
     """Write the decided regions to all rows of their policy.
 
     With `keep_holder` the region of the policy's holders stays as `_holder_region`.
     """
     out = attach(df, policy_decisions(df, pack, rules), {"policy_no": F.col("policy_no")},
-                 ["region", "code", "holder_region"])
+                 ["region", "code", "holder_region"], **options)
     holder = F.col("_hit.holder_region")
     out = out.withColumn("_holder_region", holder)
     out = rewrite_where(out, F.col("_hit.region").isNotNull(),
@@ -133,11 +134,11 @@ def single_gap_clients(df: DataFrame, pack: RulePack) -> DataFrame:
     )
 
 
-def region_from_holder(df: DataFrame, pack: RulePack) -> DataFrame:
+def region_from_holder(df: DataFrame, pack: RulePack, **options) -> DataFrame:
     """R058 on rows that carry `_holder_region`: such clients take the holder's region."""
     on = {c: F.col(c) for c in ("doc_type_eval", "doc_no_eval")}
     out = attach(df, single_gap_clients(df, pack), on, ["gaps"],
-                 eligible=F.col("_holder_region").isNotNull())
+                 eligible=F.col("_holder_region").isNotNull(), **options)
     return rewrite_where(
         out, F.col("_hit").isNotNull(),
         {"region_eval": F.col("_holder_region")}, "-R058").drop("_hit", "_holder_region")
