@@ -20,7 +20,7 @@ from partysieve.catalog.fixtures import (
 from partysieve.functions import text
 from partysieve.operators.counts import rule_counts
 from partysieve.operators.ids import next_ids, renumber
-from partysieve.operators.keyed import update_from
+from partysieve.operators.keyed import attach, lookup, update_from
 from partysieve.operators.rewrite import copy_rows, rewrite_where
 from partysieve.plans import (
     documents,
@@ -262,8 +262,10 @@ def handoff_sync(spark, sf):
 
 @query
 def join_inner(spark, sf):
-    product = dimension(spark, sf, "product").select("product_key", "regime_id")
-    return cleaned(spark, sf).select("record_id", "product_key").join(product, "product_key")
+    rows = cleaned(spark, sf).select("record_id", "product_key")
+    out = lookup(rows, dimension(spark, sf, "product"), {"product_key": F.col("product_key")},
+                 ["regime_id"])
+    return out.where(F.col("_hit").isNotNull()).select(*rows.columns, "_hit.regime_id")
 
 
 def newest_known(df: DataFrame) -> DataFrame:
@@ -298,9 +300,11 @@ def join_watchlist(spark, sf):
 
 @query
 def join_semi(spark, sf):
+    """IN over an aggregate of the same table, joined back without piling up a hot policy."""
     df = extract(spark, sf)
-    keys = parties.holderless_policies(df, PACK)
-    return df.select("record_id", "policy_no").join(keys, "policy_no", "left_semi")
+    found = attach(df.select("record_id", "policy_no"), parties.holderless_policies(df, PACK),
+                   {"policy_no": F.col("policy_no")}, ["_product"])
+    return found.where(F.col("_hit").isNotNull()).drop("_hit")
 
 
 @query
@@ -310,8 +314,10 @@ def join_not_in(spark, sf):
     groups = regions.policy_groups(df, PACK).where(~F.col("has_party"))
     unnumbered = df.where(
         F.col("policy_no").isNull() & F.col("party_role").isin(PACK.holder, PACK.insured))
-    return df.where((F.col("party_role") == PACK.beneficiary) & ~unnumbered.exists()).join(
-        groups, "policy_no", "left_semi").select("record_id", "policy_no")
+    rows = df.where((F.col("party_role") == PACK.beneficiary) & ~unnumbered.exists())
+    found = attach(rows.select("record_id", "policy_no"), groups,
+                   {"policy_no": F.col("policy_no")}, ["has_party"])
+    return found.where(F.col("_hit").isNotNull()).drop("_hit")
 
 
 @query
