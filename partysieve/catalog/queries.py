@@ -49,7 +49,8 @@ MONEY = ("premium", "premium_total", "premium_collected", "premium_total_local")
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register under the function's name; a trailing underscore avoids a shadowed import."""
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -105,10 +106,12 @@ def sink_append(spark, sf):
 
 @query
 def clear_staging(spark, sf):
-    target = StageArea(spark).new_path("staging")
-    rows = handoff.shipped_handoffs(derive(spark, sf, "handoff"))
-    sinks.append_columns(rows, handoff.HANDOFF_COLUMNS, target)
+    """Fill, empty, and fill again: only the second filling is left."""
+    source, target = derive(spark, sf, "handoff"), StageArea(spark).new_path("staging")
+    sinks.append_columns(handoff.shipped_handoffs(source), handoff.HANDOFF_COLUMNS, target)
     sinks.clear_staging(spark, target)
+    pending = handoff.pending_handoffs(source, PACK)
+    sinks.append_columns(pending, handoff.HANDOFF_COLUMNS, target)
     return spark.read.parquet(target)
 
 
@@ -143,9 +146,6 @@ def activity_lookup_(spark, sf):
     return activity_lookup(dimension(spark, sf, "activity"), PACK.activity_property)
 
 
-QUERIES["activity_lookup"] = QUERIES.pop("activity_lookup_")
-
-
 # --- projections, filters, predicates ------------------------------------------------
 
 @query
@@ -178,9 +178,6 @@ def rewrite_where_(spark, sf):
     return out.select("record_id", "note", "regime_eval", "rule_trace")
 
 
-QUERIES["rewrite_where"] = QUERIES.pop("rewrite_where_")
-
-
 @query
 def rule_r002(spark, sf):
     return documents.type_from_number(cleaned(spark, sf), PACK).select(*DOC)
@@ -251,9 +248,6 @@ def update_from_(spark, sf):
     return out.select("record_id", "regime_eval", "rule_trace")
 
 
-QUERIES["update_from"] = QUERIES.pop("update_from_")
-
-
 @query
 def handoff_sync(spark, sf):
     out = handoff.sync_handoffs(derive(spark, sf, "handoff"), derive(spark, sf, "handoff_staged"))
@@ -434,9 +428,6 @@ def rule_counts_(spark, sf):
     return rule_counts(df)
 
 
-QUERIES["rule_counts"] = QUERIES.pop("rule_counts_")
-
-
 @query
 def window_row_number(spark, sf):
     """First region per document. The window runs over distinct candidates only."""
@@ -479,9 +470,6 @@ def next_ids_(spark, sf):
         "record_id", "policy_no", "doc_no_eval", "doc_type_eval")
 
 
-QUERIES["next_ids"] = QUERIES.pop("next_ids_")
-
-
 @query
 def rule_r040(spark, sf):
     kept, added = _numbered_parent_rows(spark, sf)
@@ -511,9 +499,6 @@ def renumber_(spark, sf):
     return renumber(df, initial.ID_ORDER, StageArea(spark).cut).select(*PARTY)
 
 
-QUERIES["renumber"] = QUERIES.pop("renumber_")
-
-
 # --- composite rules -----------------------------------------------------------------
 
 @query
