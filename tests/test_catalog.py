@@ -26,3 +26,15 @@ def test_query(spark, con, name):
 def test_entry(spark):
     rows = registered.entry(spark).collect()
     assert sum(r["rows"] for r in rows) > 6000
+
+
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+         "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", ["src_scan", "init_eval", "parent_holder_rows", "handoff_sync",
+                                  "fn_text", "join_left_chain", "rule_r019", "agg_singletons"])
+def test_types(spark, con, name):
+    got = {c: TYPES[t] for c, t in QUERIES[name](spark, SF).dtypes}
+    want = {r[0]: str(r[1]) for r in con.execute("DESCRIBE " + ORACLES[name]).fetchall()}
+    assert got == want
