@@ -6,7 +6,7 @@ from compare import connect, differences
 import __spark_entry__ as registered
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
+QUERIES, ORACLES = registered.QUERIES, registered.build()
 
 
 @pytest.fixture(scope="module")
