@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partysieve.llm import seed_extend, suffix_dedup
+from partysieve.llm import bbit_dedup, seed_extend, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: Statements for DuckDB; queries without one are tested against brute force.
@@ -57,3 +57,28 @@ FROM split LEFT JOIN (
   FROM marked GROUP BY doc_id) USING (doc_id)
 """
 SQL["op3_suffix_array_dedup"] = SQL["op9_seed_extend_dedup"] = _REPEATS
+
+
+@query
+def op5_bbit_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents linked by 85 of 100 shingles or more."""
+    return bbit_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+SQL["op5_bbit_minhash_dedup"] = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM split WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS (
+  SELECT x.doc_id AS a, y.doc_id AS b
+  FROM grams AS x JOIN grams AS y ON x.g = y.g AND x.doc_id <> y.doc_id
+  JOIN sizes AS s ON s.doc_id = x.doc_id JOIN sizes AS t ON t.doc_id = y.doc_id
+  GROUP BY x.doc_id, y.doc_id, s.n, t.n HAVING 100 * count(*) >= 85 * (s.n + t.n - count(*))),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN sizes USING (doc_id)
+"""
