@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partysieve.llm import bbit_dedup, seed_extend, suffix_dedup
+from partysieve.llm import bbit_dedup, mixture, seed_extend, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: Statements for DuckDB; queries without one are tested against brute force.
@@ -82,3 +82,39 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, l
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN sizes USING (doc_id)
 """
+
+
+@query
+def op7_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of all sources takes of each document."""
+    return mixture.taken(table(spark, sf_dir, "documents"), weights=(5, 2, 1), percent=150, epochs=2)
+
+
+SQL["op7_source_mixture"] = r"""
+WITH docs AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+  FROM docs GROUP BY source),
+filled AS (
+  SELECT *, ((SELECT sum(size) FROM docs) * 1.5::DOUBLE
+             - coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size / weight, source NULLS LAST
+                                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY 2 * source_size / weight, source NULLS LAST
+                                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sources),
+aims AS (
+  SELECT source, source_size, CASE WHEN level >= 2 * source_size / weight THEN CAST(2 * source_size AS DOUBLE)
+         ELSE weight * max(CASE WHEN level < 2 * source_size / weight THEN level END) OVER () END AS target
+  FROM filled),
+stream AS (
+  SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY epoch, md5(doc_id || ':' || epoch), doc_id
+                                               ROWS UNBOUNDED PRECEDING) - size AS place
+  FROM docs, (VALUES (0), (1)) AS e(epoch))
+SELECT doc_id, size, source_size, target,
+       CAST(sum(greatest(0, least(place + size, floor(target)) - place)) AS BIGINT) AS taken
+FROM stream JOIN aims ON stream.source IS NOT DISTINCT FROM aims.source
+GROUP BY doc_id, size, source_size, target
+"""
