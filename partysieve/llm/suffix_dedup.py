@@ -14,7 +14,7 @@ from partysieve.llm import passages
 from partysieve.sources.stages import StageArea
 
 _SORTED = ["anchor", "right", "left", "doc_id", "copy", "start"]
-_FOUND = "doc_id long, copy long, start int, windows int, anchor long, right long, left long, kind string"
+_FOUND = "doc_id long, copy long, start int, windows int, anchor long, right long, left long, low long, high long, kind string"
 
 
 def split(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 50,
@@ -28,8 +28,8 @@ def split(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     that a third of all documents have. Neighbours in this order are compared: those equal to
     the right and to the left repeat in whole, and the first of them, with the least
     document, stays. Neighbours that share the minimiser's words but differ on a side are
-    extended word by word from there. Only the first and the last suffix group of a
-    partition may go on in another one; these rows are decided by a join instead.
+    extended word by word from there. The first and the last suffixes of a partition may go on
+    in another one: a few rows of each partition's ends are joined to decide on them.
 
     Results and the cases of nulls, repeated rows and clashing names are those of
     `seed_extend.split`; the way there is another. Returns documents without a repeat (doc_id,
@@ -41,14 +41,18 @@ def split(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     suffixes = found.where("start IS NOT NULL AND doc_id IS NOT NULL").drop("n_words", "sha")
     array = suffixes.repartitionByRange(*_SORTED).sortWithinPartitions(*_SORTED)
     kinds = stages.cut(array.mapInArrow(neighbours, _FOUND), "neighbours")
-    whole, partly = passages.grouped(kinds.where("kind = 'edge'").drop("kind"))
-    return passages.cut(
-        documents, found,
-        kinds.where("kind = 'whole'").select("doc_id", "copy", "start", "windows")
-        .unionByName(whole.select("doc_id", "copy", "start", "windows")),
-        kinds.where("kind = 'part'").select("doc_id", "copy", "start", "windows")
-        .unionByName(partly.select("doc_id", "copy", "start", "windows")),
-        stages, min_words)
+    # Two or four rows of each partition tell what goes on in the next one.
+    ends = kinds.where("kind = 'end'")
+    leads = ends.groupBy(*passages.SAME).agg(F.min("doc_id").alias("lead"))
+    forks = (ends.groupBy("anchor")
+             .agg(F.min(F.struct("right", "left")).alias("one"), F.max(F.struct("right", "left")).alias("other"),
+                  F.min("low").alias("low"), F.max("high").alias("high"))
+             .select("anchor", ((F.col("one") != F.col("other")) & (F.col("low") < F.col("high"))).alias("fork")))
+    opened = (kinds.where("kind = 'open'").join(leads, passages.SAME, "left").join(forks, "anchor")
+              .withColumn("kind", F.when(F.col("doc_id") > F.col("lead"), "whole").when(F.col("fork"), "part")))
+    columns = ["doc_id", "copy", "start", "windows", "kind"]
+    decided = kinds.where("kind IN ('whole', 'part')").select(*columns).unionByName(opened.select(*columns))
+    return passages.cut(documents, found, decided.where("kind = 'whole'"), decided.where("kind = 'part'"), stages, min_words)
 
 
 def dedup(documents: DataFrame, **options) -> DataFrame:
@@ -102,18 +106,28 @@ def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return out
 
     group_start, class_start = fresh("anchor"), fresh(*passages.SAME)
-    group, place = np.cumsum(group_start) - 1, np.flatnonzero(class_start)
-    lead = of["doc_id"][place][np.cumsum(class_start) - 1]
+    group, kind_of = np.cumsum(group_start) - 1, np.cumsum(class_start) - 1
+    docs = of["doc_id"]
+    lead = docs[np.flatnonzero(class_start)][kind_of]
     first = np.flatnonzero(group_start)
     classes = np.add.reduceat(class_start.astype(np.int64), first)[group]
-    low, high = np.minimum.reduceat(of["doc_id"], first)[group], np.maximum.reduceat(of["doc_id"], first)[group]
+    low, high = np.minimum.reduceat(docs, first)[group], np.maximum.reduceat(docs, first)[group]
+    fork = (classes > 1) & (low < high)
+    # A class that goes on in later partitions does so with larger documents; only the first class
+    # here may have a smaller one in an earlier partition. A group may go on on both sides.
     edge = (group == 0) | (group == group[-1])
-    whole = ~edge & (of["doc_id"] > lead)
-    part = ~edge & ~whole & (classes > 1) & (low < high)
-    take = np.flatnonzero(edge | whole | part)
-    kind = np.where(edge, "edge", np.where(whole, "whole", "part"))[take]
+    whole = docs > lead
+    unsure = ~whole & edge & (~fork | (kind_of == 0))
+    part = ~whole & ~unsure & fork
+    kinds = np.full(n, "", dtype="<U5")
+    kinds[whole], kinds[part], kinds[unsure] = "whole", "part", "open"
+    take = np.flatnonzero(kinds != "")
+    ends = np.array(sorted({i for g in (0, group[-1]) for i in (first[g], np.flatnonzero(group == g)[-1])}))
+    take, kinds = np.concatenate([take, ends]), [*kinds[take].tolist(), *["end"] * len(ends)]
+    of["doc_id"] = np.concatenate([docs[take[:-len(ends)]], lead[ends]])
     names = ["doc_id", "copy", "start", "windows", "anchor", "right", "left"]
-    out = pa.RecordBatch.from_arrays([*(pa.array(of[c][take]) for c in names), pa.array(kind.tolist(), pa.string())],
-                                     names=[*names, "kind"])
+    out = pa.RecordBatch.from_arrays(
+        [pa.array(of["doc_id"]), *(pa.array(of[c][take]) for c in names[1:]), pa.array(low[take]), pa.array(high[take]),
+         pa.array(kinds, pa.string())], names=[*names, "low", "high", "kind"])
     for at in range(0, out.num_rows, 50_000):
         yield out.slice(at, 50_000)
