@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partysieve.llm import bbit_dedup, mixture, seed_extend, suffix_dedup
+from partysieve.llm import bbit_dedup, mixture, quality_trees, seed_extend, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: Statements for DuckDB; queries without one are tested against brute force.
@@ -118,3 +118,11 @@ SELECT doc_id, size, source_size, target,
 FROM stream JOIN aims ON stream.source IS NOT DISTINCT FROM aims.source
 GROUP BY doc_id, size, source_size, target
 """
+
+
+@query
+def op1_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of each document and the verdict of the base rule and the boosted trees."""
+    documents = table(spark, sf_dir, "documents")
+    trees = quality_trees.train(documents, table(spark, sf_dir, "labels"))
+    return quality_trees.judge(documents.select("doc_id", "text"), trees).drop("text", "score")
