@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from partysieve.llm import bbit_dedup, mixture, quality_trees, seed_extend, suffix_dedup
+from partysieve.llm import bbit_dedup, bpe_matrix, mixture, quality_trees, seed_extend, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: Statements for DuckDB; queries without one are tested against brute force.
@@ -126,3 +127,17 @@ def op1_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     trees = quality_trees.train(documents, table(spark, sf_dir, "labels"))
     return quality_trees.judge(documents.select("doc_id", "text"), trees).drop("text", "score")
+
+
+@query
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each document."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.PATTERN, limit=512)
+
+
+@query
+def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each document's token ids and of what they decode to."""
+    return bpe_matrix.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                              public_tokenizers.PATTERN)
