@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from partysieve.llm import bbit_dedup, bpe_matrix, mixture, quality_trees, seed_extend, suffix_dedup, token_counts
+from partysieve.llm import bbit_dedup, bpe_matrix, fingerprints, mixture, quality_trees, seed_extend, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: Statements for DuckDB; queries without one are tested against brute force.
@@ -141,3 +141,9 @@ def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of each document's token ids and of what they decode to."""
     return bpe_matrix.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                               public_tokenizers.PATTERN)
+
+
+@query
+def op6_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each document and of its text edited with the next document's."""
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
