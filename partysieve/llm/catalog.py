@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from partysieve.llm import bbit_dedup, bpe_matrix, fingerprints, mixture, quality_trees, seed_extend, suffix_dedup, token_counts
+from partysieve.llm import bbit_dedup, bpe_matrix, fingerprints, host_reputation, mixture, quality_trees, seed_extend, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: Statements for DuckDB; queries without one are tested against brute force.
@@ -147,3 +147,58 @@ def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_minhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of each document and of its text edited with the next document's."""
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/"))
+
+
+@query
+def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on each page by the rules, or by its host's reputation under them."""
+    return host_reputation.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+SQL["op10_host_reputation"] = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+split AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+rules(kind, rule) AS (VALUES ('allow', 'com/'), ('block', 'example.com/en/'), ('allow', 'www.example.com/en/'),
+                             ('block', 'net/es/'), ('block', 'net/fr/')),
+ruled AS (
+  SELECT page_id, host, path, max_by(rule, len(rule)) AS rule, max_by(kind, len(rule)) AS kind
+  FROM (SELECT DISTINCT page_id, host, path FROM split) LEFT JOIN rules
+    ON ('.' || host) LIKE ('%.' || split_part(rule, '/', 1)) AND starts_with(path, substr(rule, instr(rule, '/')))
+  GROUP BY page_id, host, path),
+hosts AS (
+  SELECT host, regexp_replace(host, ':[0-9]*$', '') AS name, count(rule) AS n, count(*) FILTER (kind = 'block') AS bad
+  FROM split JOIN ruled USING (page_id, host, path) GROUP BY host),
+labels AS (
+  SELECT *, string_split(name, '.') AS l, regexp_full_match(name, '[0-9.]+') AS numeric,
+         coalesce(len(l) > 2 AND len(l[-1]) = 2 AND l[-2] IN ('ac', 'co', 'com', 'edu', 'gob', 'gov', 'net', 'org'), false) AS two
+  FROM hosts),
+placed AS (
+  SELECT host, n, bad,
+         CASE WHEN numeric THEN name ELSE array_to_string(l[-(CASE WHEN two THEN 3 ELSE 2 END):], '.') END AS domain,
+         CASE WHEN numeric THEN '' WHEN two THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix FROM labels),
+overall AS (SELECT (sum(bad) + 0.5::DOUBLE) / (sum(n) + 1) AS mean, mean * (1 - mean) / (sum(n) + 2) AS variance FROM placed),
+s1 AS (SELECT suffix, p.n, p.bad, mean, variance
+       FROM (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM placed GROUP BY suffix) AS p, overall),
+m1 AS (SELECT 1 / least(greatest(coalesce(sum(n * (bad / n - mean) ** 2 / (mean * (1 - mean)) - 1) / nullif(sum(n - 1), 0), 0.5), 0.02), 0.9) - 1 AS m
+       FROM s1 WHERE n > 0 AND mean > 0 AND mean < 1),
+p1 AS (SELECT suffix, (mean * m + bad) / (n + m) AS q, q * (1 - q) / (n + m + 1) + (m / (n + m)) ** 2 * variance AS v FROM s1, m1),
+s2 AS (SELECT domain, sum(n) AS n, sum(bad) AS bad, any_value(q) AS mean, any_value(v) AS variance
+       FROM placed JOIN p1 USING (suffix) GROUP BY domain),
+m2 AS (SELECT 1 / least(greatest(coalesce(sum(n * (bad / n - mean) ** 2 / (mean * (1 - mean)) - 1) / nullif(sum(n - 1), 0), 0.5), 0.02), 0.9) - 1 AS m
+       FROM s2 WHERE n > 0 AND mean > 0 AND mean < 1),
+p2 AS (SELECT domain, (mean * m + bad) / (n + m) AS q, q * (1 - q) / (n + m + 1) + (m / (n + m)) ** 2 * variance AS v FROM s2, m2),
+s3 AS (SELECT host, n, bad, q AS mean, v AS variance FROM placed JOIN p2 USING (domain)),
+m3 AS (SELECT 1 / least(greatest(coalesce(sum(n * (bad / n - mean) ** 2 / (mean * (1 - mean)) - 1) / nullif(sum(n - 1), 0), 0.5), 0.02), 0.9) - 1 AS m
+       FROM s3 WHERE n > 0 AND mean > 0 AND mean < 1),
+judged AS (SELECT host, (mean * m + bad) / (n + m) AS q, q * (1 - q) / (n + m + 1) + (m / (n + m)) ** 2 * variance AS v FROM s3, m3)
+SELECT page_id, host, path, rule,
+       coalesce(kind, CASE WHEN q - 1.645 * sqrt(v) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM split JOIN ruled USING (page_id, host, path) JOIN judged USING (host)
+"""
