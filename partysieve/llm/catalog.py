@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from partysieve.llm import bbit_dedup, bpe_matrix, fingerprints, host_reputation, mixture, quality_trees, seed_extend, suffix_dedup, token_counts
 
@@ -155,15 +156,22 @@ URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.exa
 
 @query
 def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The verdict on each page by the rules, or by its host's reputation under them."""
-    return host_reputation.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    """The verdict on each page by the rules, or by its host's reputation.
+
+    The number at the end of a path is the document that the page shows; its labels are the page's outcome.
+    """
+    pages = table(spark, sf_dir, "pages")
+    bad = F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)).alias("bad")
+    labels = table(spark, sf_dir, "labels").where("doc_id IS NOT NULL").groupBy("doc_id").agg(bad)
+    shown = pages.select("url", F.expr(r"try_cast(regexp_extract(url, '^[^?#]*/([0-9]{1,18})(/|[.]html)?([?#]|$)', 1) AS BIGINT)").alias("doc_id"))
+    return host_reputation.judge(pages, URL_RULES, labelled=shown.join(labels, "doc_id").select("url", "bad"))
 
 
 SQL["op10_host_reputation"] = r"""
 WITH cut AS (
-  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+  SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 split AS (
-  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
 rules(kind, rule) AS (VALUES ('allow', 'com/'), ('block', 'example.com/en/'), ('allow', 'www.example.com/en/'),
                              ('block', 'net/es/'), ('block', 'net/fr/')),
@@ -172,17 +180,21 @@ ruled AS (
   FROM (SELECT DISTINCT page_id, host, path FROM split) LEFT JOIN rules
     ON ('.' || host) LIKE ('%.' || split_part(rule, '/', 1)) AND starts_with(path, substr(rule, instr(rule, '/')))
   GROUP BY page_id, host, path),
+outcomes AS (
+  SELECT host, bad FROM split LEFT JOIN (
+    SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id)
+    ON doc_id = try_cast(regexp_extract(url, '^[^?#]*/([0-9]{1,18})(/|[.]html)?([?#]|$)', 1) AS BIGINT)),
 hosts AS (
-  SELECT host, regexp_replace(host, ':[0-9]*$', '') AS name, count(rule) AS n, count(*) FILTER (kind = 'block') AS bad
-  FROM split JOIN ruled USING (page_id, host, path) GROUP BY host),
-labels AS (
+  SELECT host, regexp_replace(host, ':[0-9]*$', '') AS name, count(bad) AS n, coalesce(sum(bad), 0) AS bad
+  FROM outcomes GROUP BY host),
+named AS (
   SELECT *, string_split(name, '.') AS l, regexp_full_match(name, '[0-9.]+') AS numeric,
          coalesce(len(l) > 2 AND len(l[-1]) = 2 AND l[-2] IN ('ac', 'co', 'com', 'edu', 'gob', 'gov', 'net', 'org'), false) AS two
   FROM hosts),
 placed AS (
   SELECT host, n, bad,
          CASE WHEN numeric THEN name ELSE array_to_string(l[-(CASE WHEN two THEN 3 ELSE 2 END):], '.') END AS domain,
-         CASE WHEN numeric THEN '' WHEN two THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix FROM labels),
+         CASE WHEN numeric THEN '' WHEN two THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix FROM named),
 overall AS (SELECT (sum(bad) + 0.5::DOUBLE) / (sum(n) + 1) AS mean, mean * (1 - mean) / (sum(n) + 2) AS variance FROM placed),
 s1 AS (SELECT suffix, p.n, p.bad, mean, variance
        FROM (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM placed GROUP BY suffix) AS p, overall),

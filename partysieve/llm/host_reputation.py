@@ -102,23 +102,25 @@ def _posterior(groups: DataFrame) -> tuple[Column, Column]:
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], page_id: str = "page_id", url: str = "url",
-          outcome: Column | None = None, stages: StageArea | None = None) -> DataFrame:
+          labelled: DataFrame | None = None, stages: StageArea | None = None) -> DataFrame:
     """Per page page_id, host, path, rule, verdict.
 
     The longest fitting rule decides. Other pages are allowed or blocked by their host's reputation,
-    learned from `outcome` (1 bad, 0 good, null unknown; by default the verdicts of the rules on the pages
-    they fit): blocked if the bound of the bad share is over LEVEL. A null url or one without `://` has an empty host
-    and path, which is a host like any other. Rows with null or repeated ids are rows like any
-    other; other columns are ignored, whatever their names. An empty table gives an empty one.
+    learned from the page outcomes in `labelled` (url, and bad: 1, 0 or null): blocked if the bound
+    of the bad share is over LEVEL. Hosts without outcomes have their domain's or suffix's; without any
+    outcome all such pages are allowed. A null url or one without `://` has an empty host and path, which is a
+    host like any other. Rows with null or repeated ids are rows like any other; other columns
+    are ignored, whatever their names. An empty table gives an empty one.
     """
     stages = stages or StageArea(pages.sparkSession)
     host, path = parts(F.col(url))
-    rows = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"),
-                        (outcome if outcome is not None else F.lit(None)).cast("long").alias("known"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": rule, "verdict": verdict})
-    bad = F.col("known") if outcome is not None else F.when(F.col("rule").isNotNull(), (F.col("verdict") == "block").cast("long"))
-    hosts = reputation(rows.select("host", bad.alias("bad")), stages)
+    rows = (pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"))
+            .withColumns({"rule": rule, "verdict": verdict}))
+    outcomes = rows.select("host", F.lit(None).cast("long").alias("bad"))
+    if labelled is not None:
+        outcomes = outcomes.unionByName(labelled.select(parts(F.col("url"))[0].alias("host"), F.col("bad").cast("long").alias("bad")))
+    hosts = reputation(outcomes, stages)
     hosts = hosts.select("host", F.when(F.col("bound") > LEVEL, "block").otherwise("allow").alias("learned"))
     ruled = rows.where("rule IS NOT NULL").select("page_id", "host", "path", "rule", "verdict")
     rest = rows.where("rule IS NULL").select("page_id", "host", "path", "rule").join(hosts, "host")
