@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partysieve.llm import bbit_dedup, bpe_matrix, fingerprints, host_reputation, mixture, quality_trees, seed_extend, suffix_dedup, token_counts
+from partysieve.llm import bbit_dedup, block_lstm, bpe_matrix, fingerprints, host_reputation, mixture, quality_trees, seed_extend, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: Statements for DuckDB; queries without one are tested against brute force.
@@ -214,3 +214,10 @@ SELECT page_id, host, path, rule,
        coalesce(kind, CASE WHEN q - 1.645 * sqrt(v) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
 FROM split JOIN ruled USING (page_id, host, path) JOIN judged USING (host)
 """
+
+
+@query
+def op2_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    pages = table(spark, sf_dir, "pages")
+    return block_lstm.extract(pages, block_lstm.train(pages))
