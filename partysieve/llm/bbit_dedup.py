@@ -215,8 +215,8 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     asked = (mates.groupBy("doc_id").agg(F.collect_set("one").alias("asked"), F.sum("mates").alias("central"))
              .join(clusters.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "cluster"), "doc_id"))
     asked = stages.cut(asked, "asked")
-    # The one join that moves every text.
-    sets = stages.cut(documents.join(asked, "doc_id").mapInArrow(_gather, _SETS).dropDuplicates(["doc_id", "one"]), "sets")
+    # The one join that moves every text; by merging at any size, so that small inputs foretell large ones.
+    sets = stages.cut(documents.join(asked.hint("merge"), "doc_id").mapInArrow(_gather, _SETS).dropDuplicates(["doc_id", "one"]), "sets")
     links = _links(sets, asked.select("doc_id", "central"), percent, stages)
     ends = components(links, stages, "ends").withColumnRenamed("node", "lead")
     nodes = (found.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "n_shingles", "one", "two")
