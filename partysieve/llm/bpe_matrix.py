@@ -12,6 +12,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from partysieve.llm.words import small_batches
 
@@ -200,7 +201,7 @@ def encoded(documents: DataFrame, path: str, pattern: str, text: str = "text") -
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))],
                                              names=[*batch.schema.names, "ids"])
 
-    return kept.mapInArrow(of, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema] + ["ids array<int>"]))
+    return kept.mapInArrow(of, T.StructType([*kept.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 def digests(documents: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

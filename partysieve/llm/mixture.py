@@ -26,10 +26,11 @@ _WORDS = r"[^\x20\x09-\x0D]+"
 
 @dataclass
 class Mix:
-    """rows: row, the documents' columns under `of`, size, source_id. sources: source_id, source,
+    """rows: row, doc_id, size, source_id. carried: row, and the documents' columns under `of`. sources: source_id, source,
     source_size, weight, target, quota. slots: slot, source_id, rank. pieces: slot, row, epoch, words."""
 
     rows: DataFrame
+    carried: DataFrame
     sources: DataFrame
     slots: DataFrame
     pieces: DataFrame
@@ -132,15 +133,15 @@ def mixture(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", so
     narrow = stages.cut(narrow, "sizes")  # row is fixed from here on
     sources = targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), weights, percent, epochs)
     sources = stages.cut(sources, "sources")
-    rows = (narrow.join(sources.select("source_id", F.col("source").alias("name")), F.col("source").eqNullSafe(F.col("name")))
+    rows = (narrow.drop("of").join(sources.select("source_id", F.col("source").alias("name")), F.col("source").eqNullSafe(F.col("name")))
             .drop("name"))
     slots = stages.cut(schedule(spark, sources, block), "slots")
-    placed = (_shuffled(rows.drop("of"), epochs).join(sources.select("source_id", "quota"), "source_id")
+    placed = (_shuffled(rows, epochs).join(sources.select("source_id", "quota"), "source_id")
               .withColumn("to", F.least("to", "quota")).where(F.col("from") < F.col("to")))
     cut = (placed.withColumn("rank", F.explode(F.expr(f"sequence(`from` div {block}, (`to` - 1) div {block})")))
            .withColumn("words", F.least(F.col("to"), (F.col("rank") + 1) * block) - F.greatest(F.col("from"), F.col("rank") * block)))
     pieces = cut.join(slots, ["source_id", "rank"]).select("slot", "row", "epoch", "words")
-    return Mix(rows, sources, slots, pieces)
+    return Mix(rows, narrow.select("row", "of"), sources, slots, pieces)
 
 
 def taken(documents: DataFrame, **options) -> DataFrame:
@@ -156,5 +157,6 @@ def repeated(documents: DataFrame, **options) -> DataFrame:
     mixed = mixture(documents, carry=True, **options)
     words = mixed.pieces.groupBy("row").agg(F.sum("words").alias("taken"))
     times = F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size"))).cast("int")
-    return (mixed.rows.where("size > 0").join(words, "row").withColumn("times", times).where("times > 0")
-            .withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times")))).select("of.*"))
+    copies = mixed.rows.where("size > 0").join(words, "row").select("row", times.alias("times")).where("times > 0")
+    return (mixed.carried.join(copies, "row").withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
+            .select("of.*"))

@@ -43,6 +43,15 @@ def narrowed(documents: DataFrame, doc_id: str, text: str) -> DataFrame:
     return documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
+def copy_of(text: Column) -> Column:
+    """Tells texts of one document id apart; the same number as `_copies` gives."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _copies(texts: list[bytes]) -> np.ndarray:
+    return np.array([xxh64_intdigest(x, 42) for x in texts], np.uint64).view(np.int64)
+
+
 class Blocks:
     """The blocks of some texts, as arrays over all of them."""
 
@@ -97,7 +106,7 @@ def blocks(documents: DataFrame, length: int) -> DataFrame:
             texts = utf8(batch.column("text"))
             for a, b in steps(texts):
                 part, own = texts[a:b], ids[a:b]
-                copies = np.array([xxh64_intdigest(x) for x in part], np.uint64).view(np.int64)
+                copies = _copies(part)
                 found = Blocks(part, length)
                 rows = found.rows()
                 yield _batch(own[found.text], copies[found.text], len(found.text), **rows)
@@ -181,9 +190,9 @@ def cut(documents: DataFrame, found: DataFrame, whole: DataFrame, partly: DataFr
     marks = (whole.select("doc_id", "copy", F.lit(None).cast("struct<start: int, windows: int>").alias("mark"))
              .unionByName(partly.select("doc_id", "copy", F.struct("start", "windows").alias("mark")))
              .groupBy("doc_id", "copy").agg(F.collect_set("mark").alias("marks")))
-    # The one join that moves every text. `copy` is not stored with the texts, so ids alone join.
-    by_id = marks.groupBy("doc_id").agg(F.collect_list(F.struct("copy", "marks")).alias("copies"))
-    concerned = documents.join(by_id, "doc_id").mapInArrow(_own_marks, _MARKED)
+    # The one join that moves every text.
+    texts = documents.withColumn("copy", copy_of(F.col("text")))
+    concerned = texts.join(marks, ["doc_id", "copy"]).select("doc_id", "copy", "text", "marks")
     concerned = stages.cut(concerned, "concerned")
 
     def compare(batches):
@@ -212,26 +221,6 @@ def cut(documents: DataFrame, found: DataFrame, whole: DataFrame, partly: DataFr
     return rest.select("doc_id", "n_words", "sha"), hit.select("doc_id", "copy", "text", "spans")
 
 
-_MARKED = "doc_id long, copy long, text string, marks array<struct<start: int, windows: int>>"
-
-
-def _own_marks(batches):
-    """Of the marks of a document id, those of the row's own text."""
-    for batch in batches:
-        texts, copies = utf8(batch.column("text")), batch.column("copies").to_pylist()
-        ids = batch.column("doc_id").to_pylist()
-        rows = []
-        for i, text in enumerate(texts):
-            own = int(np.uint64(xxh64_intdigest(text)).view(np.int64))
-            rows += [(ids[i], own, text.decode(), x["marks"]) for x in copies[i] if x["copy"] == own]
-        if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                 pa.array([r[2] for r in rows], pa.string()),
-                 pa.array([r[3] for r in rows], pa.list_(pa.struct([("start", pa.int32()), ("windows", pa.int32())])))],
-                names=["doc_id", "copy", "text", "marks"])
-
-
 def digests(hit: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, n_repeats, sha of documents with repeated spans."""
 

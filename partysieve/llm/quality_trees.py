@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from partysieve.llm.passages import narrowed
 from partysieve.llm.words import hashed, mix, small_batches, steps, utf8
@@ -206,7 +207,6 @@ def judge(documents: DataFrame, trees: Trees | None, text: str = "text", cut: fl
     small_batches(documents.sparkSession)
     names = [prefix + c for c in [*COUNTS, "base_failed", "score", "kept"]]
     documents = documents.select(*(F.col(f"`{c}`") for c in documents.columns if c == text or c not in names))
-    kinds = ["long"] * 5 + ["boolean", "double", "boolean"]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -220,5 +220,5 @@ def judge(documents: DataFrame, trees: Trees | None, text: str = "text", cut: fl
                     [*part.columns, *(pa.array(c) for c in n.T), pa.array(failed), pa.array(score), pa.array(~failed & (score > cut))],
                     names=[*part.schema.names, *names])
 
-    return documents.mapInArrow(of, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema]
-                                              + [f"`{c}` {k}" for c, k in zip(names, kinds)]))
+    new = [T.StructField(c, k) for c, k in zip(names, [T.LongType()] * 5 + [T.BooleanType(), T.DoubleType(), T.BooleanType()])]
+    return documents.mapInArrow(of, T.StructType([*documents.schema.fields, *new]))
