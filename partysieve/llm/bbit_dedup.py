@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -94,6 +94,14 @@ def _band_keys(minima_: np.ndarray) -> np.ndarray:
     return out
 
 
+def set_keys(s: np.ndarray) -> tuple[int | None, int | None]:
+    """128 bits that are equal for equal sets, in any order; nulls for an empty set."""
+    if not len(s):
+        return None, None
+    one, two = mix(s).sum(keepdims=True), np.bitwise_xor.reduce(mix(s * _A[0] + np.uint64(len(s))), keepdims=True)
+    return int(signed(one)[0]), int(signed(two)[0])
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = batch.column("doc_id"), utf8(batch.column("text"))
@@ -104,35 +112,34 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if full:
                 for i, k in zip(full, signed(_band_keys(minima([sets[i] for i in full])))):
                     keys[i] = k
-            with np.errstate(over="ignore"):
-                one = [int(signed(mix(s).sum(keepdims=True))[0]) if len(s) else None for s in sets]
-                two = [int(signed(np.bitwise_xor.reduce(mix(s * _A[0] + np.uint64(len(s))), keepdims=True))[0]) if len(s) else None for s in sets]
+            one, two = zip(*map(set_keys, sets))
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(one, pa.int64()),
                  pa.array(two, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
                 names=["doc_id", "n_shingles", "one", "two", "bands"])
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _gather(sets_of: Callable[[list[bytes]], list[np.ndarray]]):
     """Full sets of the representatives among the rows; a row's other texts of its id are passed over."""
-    for batch in batches:
-        texts, asked = utf8(batch.column("text")), batch.column("asked").to_pylist()
-        ids, clusters = batch.column("doc_id").to_pylist(), batch.column("cluster").to_pylist()
-        for a, b in steps(texts):
-            rows = []
-            sets = shingles(texts[a:b])
-            for i, s in enumerate(sets, a):
-                if len(s):
-                    key = int(signed(mix(s).sum(keepdims=True))[0])
-                    if key in asked[i]:
-                        rows.append((ids[i], clusters[i], key, s))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                     pa.array([r[2] for r in rows], pa.int64()),
-                     pa.array([signed(r[3]) for r in rows], pa.list_(pa.int64())),
-                     pa.array(packed(minima([r[3] for r in rows])), pa.binary())],
-                    names=["doc_id", "cluster", "one", "shingles", "signature"])
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, asked = utf8(batch.column("text")), batch.column("asked").to_pylist()
+            ids, clusters = batch.column("doc_id").to_pylist(), batch.column("cluster").to_pylist()
+            for a, b in steps(texts):
+                rows = []
+                for i, s in enumerate(sets_of(texts[a:b]), a):
+                    if len(s) and set_keys(s)[0] in asked[i]:
+                        rows.append((ids[i], clusters[i], set_keys(s)[0], s))
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                         pa.array([r[2] for r in rows], pa.int64()),
+                         pa.array([signed(r[3]) for r in rows], pa.list_(pa.int64())),
+                         pa.array(packed(minima([r[3] for r in rows])), pa.binary())],
+                        names=["doc_id", "cluster", "one", "shingles", "signature"])
+
+    return of
 
 
 def _linked(n: int, m: int, both: int, percent: int) -> bool:
@@ -203,7 +210,16 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     stages = stages or StageArea(spark)
     small_batches(spark)
     documents = narrowed(documents, doc_id, text)
-    found = stages.cut(documents.mapInArrow(_sign, _SIGNED), "signed")
+    return resolve(documents, documents.mapInArrow(_sign, _SIGNED), percent, stages)
+
+
+def resolve(documents: DataFrame, signed_: DataFrame, percent: int, stages: StageArea,
+            sets_of: Callable[[list[bytes]], list[np.ndarray]] = shingles) -> DataFrame:
+    """The groups of `near_duplicates` from band keys: doc_id, n_shingles, the set's keys one and two, bands.
+
+    documents: doc_id, text. sets_of gives texts' sorted full sets, with the same keys.
+    """
+    found = stages.cut(signed_, "signed")
     full = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stages.cut(full.groupBy("one", "two").agg(F.min("doc_id").alias("lead")), "classes")
     leads = (full.join(classes, ["one", "two"]).where("doc_id = lead")
@@ -216,7 +232,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
              .join(clusters.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "cluster"), "doc_id"))
     asked = stages.cut(asked, "asked")
     # The one join that moves every text; by merging at any size, so that small inputs foretell large ones.
-    sets = stages.cut(documents.join(asked.hint("merge"), "doc_id").mapInArrow(_gather, _SETS).dropDuplicates(["doc_id", "one"]), "sets")
+    sets = stages.cut(documents.join(asked.hint("merge"), "doc_id").mapInArrow(_gather(sets_of), _SETS).dropDuplicates(["doc_id", "one"]), "sets")
     links = _links(sets, asked.select("doc_id", "central"), percent, stages)
     ends = components(links, stages, "ends").withColumnRenamed("node", "lead")
     nodes = (found.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "n_shingles", "one", "two")

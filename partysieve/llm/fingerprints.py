@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from partysieve.llm.bbit_dedup import resolve, set_keys
 from partysieve.llm.passages import narrowed
-from partysieve.llm.words import BASES, Runs, hashed, mix, small_batches, steps, utf8
+from partysieve.llm.words import BASES, WHITE, Runs, hashed, mix, small_batches, steps, utf8
 from partysieve.sources.stages import StageArea
 
 #: Words of a shingle, and hash functions of a signature.
@@ -77,41 +78,40 @@ def signed(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     return narrowed(documents, doc_id, text).mapInArrow(of, "doc_id long, signature binary, fingerprint string")
 
 
-def similar(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", at_least: float = 0.8,
+def sets_of(texts: list[bytes]) -> list[np.ndarray]:
+    """The sorted set of each text's shingles; empty for a text without words."""
+    grams, bounds = shingle_sets(texts)
+    return [np.unique(grams[s:e]) if t.strip(WHITE) else grams[:0] for t, s, e in zip(texts, bounds[:-1], bounds[1:])]
+
+
+def grouped(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80,
             stages: StageArea | None = None) -> DataFrame:
-    """Links between different texts: a, b (a < b), similarity, verified on full shingle sets.
+    """Groups of documents that are linked by equal bands and a similarity of `percent` / 100, verified on full sets.
 
-    Equal signatures are one class, represented by its least document, so copies are not paired
-    (their fingerprints, of `signed`, are equal). Classes meet in bands of equal minima; the pairs are those within
-    a band. Null ids and texts without words take no part; rows with one id are one document.
+    Per row doc_id, n_shingles, component_id (the smallest doc_id reachable), kept. Signature bands are joined,
+    equal sets are represented by one document, and no group is spelled out in pairs; see
+    `bbit_dedup.resolve`. Null ids and texts without words take no part; rows with one id are one document.
     """
-    stages = stages or StageArea(documents.sparkSession)
-    rows = stages.cut(signed(documents.where(F.col(doc_id).isNotNull() & F.col(text).rlike(r"[^\x20\x09-\x0D]")), doc_id, text),
-                      "signatures")
-    leads = rows.groupBy("signature").agg(F.min("doc_id").alias("doc_id"))
-    width = 4 * ROWS
-    bands = leads.select("doc_id", F.posexplode(F.array(*(
-        F.xxhash64(F.substring("signature", i * width + 1, width)) for i in range(HASHES // ROWS)))).alias("band", "key"))
-    pairs = (bands.join(bands.select(F.col("doc_id").alias("b"), "band", "key"), ["band", "key"])
-             .where("doc_id < b").select(F.col("doc_id").alias("a"), "b").distinct())
-    pairs = stages.cut(pairs, "pairs")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    small_batches(documents.sparkSession)
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = utf8(batch.column("text"))
             for a, b in steps(texts):
-                grams, bounds = shingle_sets(texts[a:b])
-                own = [np.unique(grams[s:e]).view(np.int64) for s, e in zip(bounds[:-1], bounds[1:])]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(own, pa.list_(pa.int64()))],
-                                                 names=["doc_id", "grams"])
-
-    asked = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    full = narrowed(documents, doc_id, text).join(asked, "doc_id").mapInArrow(sets, "doc_id long, grams array<long>")
-    full = stages.cut(full.dropDuplicates(["doc_id"]), "full")
-    both = F.size(F.array_intersect("x", "y"))
-    return (pairs.join(full.select(F.col("doc_id").alias("a"), F.col("grams").alias("x")), "a")
-            .join(full.select(F.col("doc_id").alias("b"), F.col("grams").alias("y")), "b")
-            .select("a", "b", (both / (F.size("x") + F.size("y") - both)).alias("similarity")).where(F.col("similarity") >= at_least))
+                sets, marks = sets_of(texts[a:b]), signatures(texts[a:b])
+                keys = np.zeros((len(marks), HASHES // ROWS), np.uint64) + mix(np.arange(1, HASHES // ROWS + 1, dtype=np.uint64))
+                for r in range(ROWS):
+                    keys = mix(keys ^ marks[:, r::ROWS].astype(np.uint64))
+                one, two = zip(*map(set_keys, sets))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(one, pa.int64()),
+                     pa.array(two, pa.int64()),
+                     pa.array([k if len(s) else None for k, s in zip(keys.view(np.int64), sets)], pa.list_(pa.int64()))],
+                    names=["doc_id", "n_shingles", "one", "two", "bands"])
+
+    documents = narrowed(documents, doc_id, text)
+    bands = documents.mapInArrow(of, "doc_id long, n_shingles long, one long, two long, bands array<long>")
+    return resolve(documents, bands, percent, stages or StageArea(documents.sparkSession), sets_of)
 
 
 def edited(text: str, after: str) -> str:

@@ -24,6 +24,9 @@ STEP_BYTES = 4_000_000
 BATCH_ROWS = 500
 
 
+#: The bytes that are white space between words.
+WHITE = b" \t\n\r\x0b\x0c"
+
 _shipped: set[str] = set()
 
 
