@@ -16,6 +16,9 @@ from partysieve.sources.tables import Dimensions
 
 TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
 
+# Policies that R057-1 is for.
+LISTED = tuple(f"{i % 400:06d}-{i}" for i in range(6, 6000, 10))
+
 FIXTURE_PACK = RulePack(
     holder="HOLDER", insured="INSURED", beneficiary="BENEFICIARY",
     copy_by_name_product="cold widget", copy_by_name_note="auto: INSURED BY NAME",
@@ -28,17 +31,20 @@ FIXTURE_PACK = RulePack(
     loan_products=("RED PLATE", "HOT RING"),
     region_synonyms={"PORT PROVINCE": "PORT"},
     region_placeholders=("EUROPE", "-", "."),
-    beneficiary_only_product={}, capital_product={"line_code": "Brand#1"},
+    beneficiary_only_product={"line_code": "Brand#3"}, capital_product={"line_code": "Brand#1"},
     product_sources_full=("CORE",), product_sources_named=("LEGACY",),
     product_sources_short=("SHEET",),
     regime_sources=("CORE", "LEGACY", "DIGITAL"),
     regime_sheet_products=("cold widget", "red plate"),
     handoff_events=("ISSUE", "QUICK", "PROPOSAL"),
     doc_type_overrides={"10000004": "DNI"}, region_overrides={"000077-77": "ABROAD"},
-    newest_region_policies=None,
+    newest_region_policies=LISTED,
 )
 
-_DOC_NO = """CASE WHEN c.c_custkey % 11 = 0 THEN '0' WHEN c.c_custkey % 13 = 3 THEN NULL
+# Blank numbers become NULL; '-' stands for them in one rule; signs and spaces leave a number numeric.
+_DOC_NO = """CASE WHEN c.c_custkey % 24 = 8 THEN '-' WHEN c.c_custkey % 24 = 20 THEN ' '
+      WHEN c.c_custkey % 24 = 13 THEN CONCAT('1 +-.', CAST(100 + c.c_custkey % 900 AS VARCHAR(20)))
+      WHEN c.c_custkey % 11 = 0 THEN '0' WHEN c.c_custkey % 13 = 3 THEN NULL
       WHEN c.c_custkey % 5 = 1 THEN CAST(1000000 + c.c_custkey AS VARCHAR(20))
       WHEN c.c_custkey % 5 = 2 THEN CONCAT('X', CAST(100000 + c.c_custkey AS VARCHAR(20)))
       ELSE CAST(10000000 + c.c_custkey AS VARCHAR(20)) END"""
@@ -63,7 +69,8 @@ _ID = {
 
 EXTRACT = f"""
 SELECT $ID AS record_id,
- CONCAT(LPAD(CAST(o.o_orderkey % 400 AS VARCHAR(20)), 6, '0'), '-', CAST(o.o_orderkey AS VARCHAR(20))) AS policy_no,
+ CASE o.o_orderkey % 40 WHEN 6 THEN CAST(o.o_orderkey AS VARCHAR(20)) WHEN 7 THEN CONCAT('TX-', CAST(o.o_orderkey AS VARCHAR(20)))
+      ELSE CONCAT(LPAD(CAST(o.o_orderkey % 400 AS VARCHAR(20)), 6, '0'), '-', CAST(o.o_orderkey AS VARCHAR(20))) END AS policy_no,
  c.c_mktsegment AS business_line,
  CASE l.l_returnflag WHEN 'A' THEN ' USD ' WHEN 'R' THEN 'PEN' ELSE ' ' END AS currency_code,
  CAST(o.o_totalprice AS DECIMAL(18,2)) AS premium,

@@ -608,6 +608,15 @@ def regimes_all(spark, sf):
     return regimes.highest_regime(df).select(*REGIME)
 
 
+@query
+def audit_full_run(spark, sf):
+    """Rows that each rule marked in a full run, as its audit tells them; R020 names rules of two steps."""
+    stages, audit = StageArea(spark), AuditTrail(spark)
+    run.run(extract(spark, sf), dimensions(spark, sf), PACK, stages, audit)
+    stages.clear()
+    return audit.frame().where("changed > 0 AND trim(entry) <> 'R020'").select(F.trim("entry").alias("entry"), "changed")
+
+
 @query
 def full_run(spark, sf):
     return plain(run.run(extract(spark, sf), dimensions(spark, sf), PACK, StageArea(spark)))

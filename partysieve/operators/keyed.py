@@ -79,15 +79,16 @@ def attach(
 
 def one_per_key(dim: DataFrame, on: Sequence[str], values: Sequence[str],
                 order: Sequence[str] = ()) -> DataFrame:
-    """Reduce to one row per key: the least by `order`, then by the values."""
-    rank = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
+    """Reduce to one row per key: the least by `order`, then by the values, NULL after all others."""
+    rank = [x for i, c in enumerate([*order, *values])
+            for x in (F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_o{i}"))]
     least = dim.groupBy(*on).agg(F.min(F.struct(*rank, *values)).alias("_least"))
     return least.select(*on, *[F.col(f"_least.{v}").alias(v) for v in values if v not in on])
 
 
 def bounded(df: DataFrame, rows: int) -> bool:
-    """Whether the frame has at most so many rows; never reads on beyond the bound."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether the frame has at most so many rows, by a plain count, summed on the map side."""
+    return df.count() <= rows
 
 
 def lookup(

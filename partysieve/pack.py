@@ -12,8 +12,8 @@ class RulePack:
 
     The defaults are the production values. Product selections are column -> value
     mappings; all of them must match, and an empty mapping selects every product.
-    Single documents and policies with a decided value are deployment data: pass
-    them in, they have no default.
+    Single documents and policies with a decided value are deployment data: they have no default and
+    must be passed, if only as empty.
     """
 
     # --- fixed values: they must equal the source system's for the results to be right ---
@@ -82,11 +82,11 @@ class RulePack:
     # --- end of fixed values ---
 
     # Deployment data. `newest_region_policies=None` selects every sheet policy.
-    doc_type_overrides: Mapping[str, str] = field(default_factory=dict)
-    region_overrides: Mapping[str, str] = field(default_factory=dict)
-    newest_region_policies: tuple[str, ...] | None = ()
+    doc_type_overrides: Mapping[str, str] = field(kw_only=True)
+    region_overrides: Mapping[str, str] = field(kw_only=True)
+    newest_region_policies: tuple[str, ...] | None = field(kw_only=True)
 
     # Off: a row's region id stays as it came. On: it is looked up by region name.
     lookup_region_id: bool = False
-    # Off: a NULL document number matches nothing in the regime rule R020. On: it matches '-'.
+    # Off: rows without a document number are no examples in the regime rule R020. On: they are, as '-'.
     null_document_matches_dash: bool = False

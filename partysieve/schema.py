@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -79,9 +81,15 @@ WORKING_COLUMNS = (
 )
 
 
-def align(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select the schema's columns by name, cast to its types; absent ones become NULL."""
+def align(df: DataFrame, schema: StructType, optional: Collection[str] = ()) -> DataFrame:
+    """Select the schema's columns by name, cast to its types.
+
+    Absent columns are an error, but for those named as optional, which become NULL.
+    """
     present = {c.lower() for c in df.columns}
+    absent = [f.name for f in schema if f.name.lower() not in present and f.name not in optional]
+    if absent:
+        raise ValueError(f"the source has no column {', '.join(absent)}; it has {', '.join(df.columns)}")
     return df.select(*[
         (F.col(f.name) if f.name.lower() in present else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schema.fields

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -17,9 +18,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a temporary one only for a local master."""
     global _local_root
     root = spark.conf.get(_SETTING, None)
+    on_cluster = not spark.sparkContext.master.startswith("local")
     if root:
+        if on_cluster and not spark.sparkContext.master.startswith("local-cluster") and _is_local(spark, root):
+            raise ValueError(f"{_SETTING} is {root}, which is each machine's own folder")
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if on_cluster:
         raise ValueError(f"set {_SETTING} to a folder that every executor can reach")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="partysieve-")
@@ -33,6 +37,11 @@ def file_system(spark: SparkSession, path: str):
     return found.getFileSystem(context._jsc.hadoopConfiguration()), found
 
 
+def _is_local(spark: SparkSession, path: str) -> bool:
+    files, _ = file_system(spark, path)
+    return files.getUri().getScheme() == "file"
+
+
 class StageArea:
     """A folder of Parquet stages, one sub-folder per stage.
 
@@ -44,6 +53,7 @@ class StageArea:
         self.spark = spark
         self.path = f"{root or checkpoint_root(spark)}/run-{uuid.uuid4().hex}"
         self.rows: dict[str, int] = {}
+        self.counted: dict[str, dict[str, int]] = {}
         self._paths: dict[str, str] = {}
 
     def new_path(self, name: str) -> str:
@@ -51,12 +61,18 @@ class StageArea:
         self._paths[name] = f"{self.path}/{len(self._paths):02d}-{name}-{uuid.uuid4().hex[:8]}"
         return self._paths[name]
 
-    def cut(self, df: DataFrame, name: str) -> DataFrame:
-        """Write the frame, note its row count, and return a frame that reads it."""
+    def cut(self, df: DataFrame, name: str, counts: Mapping[str, Column] | None = None) -> DataFrame:
+        """Write the frame, note its row count, and return a frame that reads it.
+
+        `counts` are conditions whose rows are counted in the same pass, into `counted`.
+        """
         path = self.new_path(name)
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-        self.rows[name] = seen.get["rows"]
+        more = [F.count_if(c).alias(k) for k, c in (counts or {}).items()]
+        df.observe(seen, F.count(F.lit(1)).alias("rows"), *more).write.parquet(path)
+        found = dict(seen.get)
+        self.rows[name] = found.pop("rows")
+        self.counted[name] = found
         return self.read(name, df.schema)
 
     def read(self, name: str, schema: StructType) -> DataFrame:

@@ -5,13 +5,14 @@ Keys are small and many, so that one frame holds a few hundred independent cases
 
 import random
 from collections import defaultdict
+from dataclasses import replace
 
 import pytest
 from conftest import day
 from pyspark.sql import functions as F
 
 from partysieve.catalog.fixtures import FIXTURE_PACK as PACK
-from partysieve.plans import documents, parties, regimes, regions
+from partysieve.plans import documents, handoff, parties, regimes, regions
 
 NONE = PACK.no_region
 
@@ -100,6 +101,10 @@ def test_documents_and_regions(fact, seed):
     assert result(regions.latest_region(single, PACK), *columns) == want
 
 
+LISTED = tuple(f"p{i}" for i in range(0, 200, 3))
+POLICY_PACK = replace(PACK, newest_region_policies=LISTED)
+
+
 def random_policies(seed, null_party):
     rnd, rows = random.Random(seed), []
     for policy in range(200):
@@ -109,6 +114,7 @@ def random_policies(seed, null_party):
                 "record_id": 1 + len(rows), "policy_no": f"p{policy}",
                 "party_role": rnd.choice(roles),
                 "source_system": rnd.choice(["CORE", "SHEET"]),
+                "line_code": rnd.choice(["Brand#3", "Brand#3", "Brand#3", "Brand#1", None]),
                 "doc_type_eval": rnd.choice(["DNI", "CE", None]),
                 "doc_no_eval": str(rnd.randint(0, 60)),
                 "region_eval": rnd.choice(["LIMA", "CUSCO", "PUNO", NONE, NONE, None]),
@@ -134,7 +140,8 @@ def model_policies(rows):
         return [r for r in group if r["region_eval"] not in (None, NONE)]
 
     def orphan(group):
-        return (not null_party and len(regions_of(group)) > 1
+        own = [r for r in group if r["line_code"] == "Brand#3"]
+        return (not null_party and len(regions_of(own)) > 1
                 and all(r["party_role"] == "BENEFICIARY" for r in group))
 
     def write(group, region, code):
@@ -149,7 +156,7 @@ def model_policies(rows):
             write(group, max(known(group), key=lambda r: r["record_id"])["region_eval"], "-R050-1")
     for group in by_policy.values():
         sheet = [r for r in group if r["source_system"] == "SHEET"]
-        if len(regions_of(sheet)) > 1 and known(group):
+        if group[0]["policy_no"] in LISTED and len(regions_of(sheet)) > 1 and known(group):
             write(group, max(known(group), key=lambda r: r["record_id"])["region_eval"], "-R057-1")
 
     gaps = defaultdict(int)
@@ -171,15 +178,15 @@ def test_policies(fact, seed, null_party):
     model_policies(rows)
     want = {r["record_id"]: (r["region_eval"], r["rule_trace"]) for r in rows}
     fused = regions.region_from_holder(
-        regions.resolve_policies(df, PACK, keep_holder=True), PACK)
+        regions.resolve_policies(df, POLICY_PACK, keep_holder=True), POLICY_PACK)
     assert result(fused, "region_eval", "rule_trace") == want
     if seed > 1:
         return
     single = df
     for rule in regions.POLICY_RULES:
-        single = again(fact, regions.resolve_policies(single, PACK, (rule,)))
-    single = regions.resolve_policies(single, PACK, (), keep_holder=True)
-    assert result(regions.region_from_holder(single, PACK), "region_eval", "rule_trace") == want
+        single = again(fact, regions.resolve_policies(single, POLICY_PACK, (rule,)))
+    single = regions.resolve_policies(single, POLICY_PACK, (), keep_holder=True)
+    assert result(regions.region_from_holder(single, POLICY_PACK), "region_eval", "rule_trace") == want
 
 
 @pytest.mark.parametrize("seed", [1, 2])
@@ -188,7 +195,7 @@ def test_missing_regimes(spark, fact, seed):
     product = {k: rnd.choice([1, 2, 3, None]) for k in range(40)}
     rows = [{
         "record_id": i, "product_key": rnd.randint(0, 45), "rule_trace": "-",
-        "doc_type_eval": rnd.choice(["DNI", None]), "doc_no_eval": rnd.choice([None, *"abcdefgh"]),
+        "doc_type_eval": rnd.choice(["DNI", None]), "doc_no_eval": rnd.choice([None, *"-abcdefgh"]),
         "doc_type": rnd.choice([None, "DNI"]), "doc_no": rnd.choice([None, "1"]),
         "regime_eval": rnd.choice([None, None, 1]), "source_system": rnd.choice(["CORE", "OTHER"]),
     } for i in range(150)]
@@ -200,7 +207,7 @@ def test_missing_regimes(spark, fact, seed):
                    and r["source_system"] == "CORE" and r["product_key"] in product})
     for key, doc in loop:
         for r in rows:
-            if product[key] and r["doc_no_eval"] == doc and r["regime_eval"] is None:
+            if product[key] and (r["doc_no_eval"] or "-") == doc and r["regime_eval"] is None:
                 r["regime_eval"], r["rule_trace"] = product[key], r["rule_trace"] + "-R020"
     loop = [r["product_key"] for r in rows if r["doc_type"] is None and r["doc_no"] is None
             and r["regime_eval"] is None and r["source_system"] == "CORE"
@@ -213,6 +220,29 @@ def test_missing_regimes(spark, fact, seed):
     assert result(regimes.fill_missing_regimes(df, dim, PACK), "regime_eval", "rule_trace") == want
 
 
+def test_a_regime_beats_none(spark, fact):
+    """Two rows of a product key, one without a regime: the other one decides. The same for staged ids."""
+    dim = spark.createDataFrame([(1, None), (1, 2)], "product_key bigint, regime_id int")
+    rows = [{"record_id": i, "product_key": 1, "rule_trace": "-", "doc_no_eval": "a", "source_system": "CORE"} for i in (1, 2)]
+    got = result(regimes.fill_missing_regimes(fact(rows), dim, PACK), "regime_eval", "rule_trace")
+    assert got == {1: (2, "--R020"), 2: (2, "--R020")}
+    keys = "product_id bigint, policy_id bigint, operation_id bigint, event string, shipment_id bigint"
+    staged = spark.createDataFrame([(1, 1, 1, "e", None), (1, 1, 1, "e", 7)], keys)
+    held = spark.createDataFrame([(1, 1, 1, "e", 5)], keys)
+    assert handoff.sync_handoffs(held, staged).first()["shipment_id"] == 7
+
+
+def test_no_document_is_the_document_dash(spark, fact):
+    dim = spark.createDataFrame([(1, 2)], "product_key bigint, regime_id int")
+    rows = [{"record_id": 1, "product_key": 1, "rule_trace": "-", "doc_no_eval": "-", "doc_no": "-", "source_system": "CORE"},
+            {"record_id": 2, "product_key": 9, "rule_trace": "-", "doc_type": "X", "source_system": "CORE"}]
+    got = result(regimes.fill_missing_regimes(fact(rows), dim, PACK), "regime_eval", "rule_trace")
+    assert got == {1: (2, "--R020"), 2: (2, "--R020")}
+    rows[0]["doc_no_eval"] = None  # no example any more
+    got = result(regimes.fill_missing_regimes(fact(rows), dim, PACK), "regime_eval")
+    assert got[2] == (None,)
+
+
 def test_watchlist_entry_with_the_highest_regime_wins(spark, fact):
     dim = spark.createDataFrame([(1, 2), (2, 3), (3, None)], "product_key bigint, regime_id int")
     listed = spark.createDataFrame(
@@ -276,7 +306,10 @@ def test_overrides_and_empty_pack(spark, fact):
     out = regions.override_regions(documents.override_doc_types(df, PACK), PACK).first()
     assert (out["doc_type_eval"], out["region_eval"]) == ("DNI", "ABROAD")
     from partysieve.pack import RulePack
-    same = regions.override_regions(documents.override_doc_types(df, RulePack()), RulePack())
+    with pytest.raises(TypeError):
+        RulePack()
+    pack = RulePack(doc_type_overrides={}, region_overrides={}, newest_region_policies=())
+    same = regions.override_regions(documents.override_doc_types(df, pack), pack)
     assert same.where(F.col("doc_type_eval").isNotNull()).count() == 0
-    assert documents.resolve_documents(same, RulePack()).count() == 1
-    assert regions.resolve_policies(same, RulePack()).count() == 1
+    assert documents.resolve_documents(same, pack).count() == 1
+    assert regions.resolve_policies(same, pack).count() == 1

@@ -82,16 +82,66 @@ def test_publish_can_read_what_it_replaces(spark, tmp_path):
     assert sinks.read_published(spark, target).count() == 3
 
 
+def test_unfinished_versions_are_not_read(spark, tmp_path):
+    target = str(tmp_path / "p")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_published(spark, target)
+    first = sinks.publish(spark.range(5), target)
+    spark.range(9).write.parquet(f"{target}/version=99999999T000000")
+    (tmp_path / "p" / "version=99999999T000000" / "_SUCCESS").unlink()
+    read = sinks.read_published(spark, target)
+    assert read.count() == 5 and all(first in f for f in read.inputFiles())
+    second = sinks.publish(spark.range(6), target)
+    sinks.retain(spark, target, 1)
+    assert sinks.versions(spark, target) == [second]
+
+
 def test_audit_numbers_on(spark, tmp_path):
     target, audit = str(tmp_path / "a"), AuditTrail(spark)
     audit.step("one")
     audit.step("two", 2, rows=4)
     audit.append_to(target)
-    audit.step("three", 3)
+    audit.step("three", 3, rows=5, changed=2)
     audit.append_to(target)
     rows = spark.read.parquet(target).orderBy("audit_id").collect()
-    assert [(r["audit_id"], r["entry"], r["rows"]) for r in rows] == [
-        (1, "one", None), (2, " two", 4), (3, "   three", None)]
+    assert [(r["audit_id"], r["entry"], r["rows"], r["changed"]) for r in rows] == [
+        (1, "one", None, None), (2, " two", 4, None), (3, "   three", 5, 2)]
+    assert {r["run_id"] for r in rows} == {audit.run_id} != {AuditTrail(spark).run_id}
+
+
+def test_a_failed_run_leaves_its_records(spark, tmp_path, monkeypatch):
+    """Step 11 fails: the table tells the steps before it and that it failed; stages are gone."""
+    from partysieve.plans import regions
+
+    def fail(*_, **__):
+        raise RuntimeError("step 11")
+
+    monkeypatch.setattr(regions, "resolve_policies", fail)
+    stages, target = StageArea(spark, str(tmp_path / "s")), str(tmp_path / "audit")
+    with pytest.raises(RuntimeError):
+        run.run_and_publish(extract(spark, SF), dimensions(spark, SF), PACK, stages, AuditTrail(spark, target), str(tmp_path / "p"))
+    entries = [r["entry"].strip() for r in spark.read.parquet(target).orderBy("audit_id").collect()]
+    assert entries[0] == "RUN - START" and entries[-1] == "RUN - FAILED: RuntimeError"
+    assert any(e.startswith("8-10.") and e.endswith("END") for e in entries) and "R002" in entries
+    assert any(e.startswith("11-14.") and "FAILED" in e for e in entries)
+    assert not (tmp_path / "p").exists() and not stages.has("documents")
+
+
+def test_a_missing_product_stops_the_run(spark, stages):
+    from dataclasses import replace
+
+    dims = dimensions(spark, SF)
+    none = replace(dims, product=dims.product.where("product_code <> 'ECONOMY'"))
+    with pytest.raises(ValueError, match="no product"):
+        run.run(extract(spark, SF), none, PACK, stages)
+
+
+def test_absent_columns_are_an_error(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(2).withColumnRenamed("id", "recrod_id").write.parquet(path)
+    sources = {"party_policy": path} | {name: path for name in DIMENSIONS}
+    with pytest.raises(ValueError, match="record_id"):
+        load_tables(spark, sources)
 
 
 def test_load_aligns_by_name(spark, tmp_path):
@@ -102,7 +152,8 @@ def test_load_aligns_by_name(spark, tmp_path):
         sources[name] = str(tmp_path / name)
         spark.createDataFrame([], schema).write.parquet(sources[name])
     fact, dims = load_tables(spark, sources, {
-        "party_policy": {"record_id": "theirs", "policy_no": "policy_no"}})
+        "party_policy": {"record_id": "theirs", "policy_no": "policy_no"}},
+        {"party_policy": set(PARTY_POLICY.fieldNames()) - {"record_id", "policy_no"}})
     assert fact.schema.fieldNames() == PARTY_POLICY.fieldNames()
     assert fact.where("record_id is not null and note is null").count() == fact.count()
     assert dims.product.columns == DIMENSIONS["product"].fieldNames()
@@ -122,17 +173,17 @@ def test_schema_is_complete():
     assert set(WORKING_COLUMNS) <= set(PARTY_POLICY.fieldNames())
 
 
-def test_full_run_invariants(spark, stages):
+def test_full_run_invariants(spark, stages, tmp_path):
     """Ids are dense, columns keep their order, and the audit tells the steps."""
-    audit = AuditTrail(spark)
-    df = run.run(extract(spark, SF), dimensions(spark, SF), PACK, stages, audit)
-    df = stages.cut(df, "result")
-    ids = df.agg(F.min("record_id"), F.max("record_id"), F.count_distinct("record_id")).first()
-    assert tuple(ids) == (1, stages.rows["result"], stages.rows["result"])
+    audit, target = AuditTrail(spark, str(tmp_path / "audit")), str(tmp_path / "published")
+    run.run_and_publish(extract(spark, SF), dimensions(spark, SF), PACK, stages, audit, target)
+    df = sinks.read_published(spark, target)
+    n = stages.rows["placed"]
+    assert tuple(df.agg(F.min("record_id"), F.max("record_id"), F.count_distinct("record_id")).first()) == (1, n, n)
     assert df.columns == PARTY_POLICY.fieldNames()
-    entries = [r["entry"] for r in audit.frame().orderBy("audit_id").collect()]
+    entries = [r["entry"] for r in spark.read.parquet(str(tmp_path / "audit")).orderBy("audit_id").collect()]
     assert entries[0] == "RUN - START" and entries[-1] == "RUN - END"
-    assert stages.rows["placed"] == stages.rows["rated"] == stages.rows["result"]
+    assert n == stages.rows["rated"] == df.count() and not stages.has("rated")
 
 
 def test_second_run_of_the_party_steps(spark, stages):
