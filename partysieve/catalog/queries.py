@@ -434,7 +434,7 @@ def window_row_number(spark, sf):
     known = with_regions(spark, sf).where(
         documents.has_document(PACK) & (F.col("region_eval") != PACK.no_region))
     latest = known.groupBy("doc_no_eval", "region_eval").agg(F.max("start_date").alias("at"))
-    several = documents.document_groups(with_regions(spark, sf), PACK).where(
+    several = documents.document_groups(with_regions(spark, sf), PACK, regions=True).where(
         F.col("region_min") != F.col("region_max")).select("doc_no_eval")
     order = Window.partitionBy("doc_no_eval").orderBy(F.desc("at"), "region_eval")
     return (latest.join(several, "doc_no_eval", "left_semi")

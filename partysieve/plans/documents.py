@@ -84,47 +84,49 @@ def has_document(pack: RulePack):
     return F.col("doc_no_eval") != pack.no_document
 
 
-def document_groups(df: DataFrame, pack: RulePack) -> DataFrame:
+def document_groups(df: DataFrame, pack: RulePack, regions: bool = False) -> DataFrame:
     """One row per document number with what its conflict rules need to know.
 
-    Three aggregates, each over the reduced rows of the one before: equal
-    (document, date, type, region), then (document, date), then document. The first only
-    counts, so it runs as a hash aggregate inside the map tasks, and a document with very
-    many rows reaches the shuffle as its few distinct combinations. The set of types
-    on one date is no larger than the list of type codes.
+    Equal (document, date, type, and with `regions` region) are counted first, inside the map tasks, so
+    that a document with very many rows reaches the shuffle as its few distinct
+    combinations. These are dealt by document once; the facts by type, by date and by document
+    then need no other exchange, and nothing is collected.
     """
     known_type = F.col("doc_type_eval") != pack.unknown_type
-    region = F.coalesce("region_eval", F.lit("-1"))
     known_region = F.col("region_eval") != pack.no_region
-    distinct = (
+    placed = ["region_eval"] if regions else []
+    rows = (
         df.where(has_document(pack))
-        .groupBy("doc_no_eval", "start_date", "doc_type_eval", "region_eval")
+        .groupBy("doc_no_eval", "start_date", "doc_type_eval", *placed)
         .agg(F.count(F.lit(1)).alias(ROWS))
+        .repartition("doc_no_eval")
     )
-    by_date = distinct.groupBy("doc_no_eval", "start_date").agg(
-        F.collect_set("doc_type_eval").alias("_types"),
+    region = F.coalesce("region_eval", F.lit("-1"))
+    first, later, last = [], [], []
+    if regions:
+        first = [F.min(region).alias("_region_min"), F.max(region).alias("_region_max"),
+                 F.min(F.when(known_region, F.col("region_eval"))).alias("_region")]
+        later = [F.min("_region_min").alias("_region_min"), F.max("_region_max").alias("_region_max"),
+                 F.min("_region").alias("_region")]
+        placed_date = F.when(F.col("_region").isNotNull(), F.col("start_date"))
+        last = [F.min("_region_min").alias("region_min"), F.max("_region_max").alias("region_max"),
+                F.max_by("_region", placed_date).alias("latest_region")]
+    by_type = rows.groupBy("doc_no_eval", "start_date", "doc_type_eval").agg(F.sum(ROWS).alias(ROWS), *first)
+    by_date = by_type.groupBy("doc_no_eval", "start_date").agg(
+        F.min("doc_type_eval").alias("_min"), F.max("doc_type_eval").alias("_max"),
+        F.count("doc_type_eval").alias("_types"),
+        F.max(F.col("doc_type_eval") == pack.national_type).alias("_national"),
+        F.max(~known_type).alias("_unknown"),
         F.min(F.when(known_type, F.col("doc_type_eval"))).alias("_known_min"),
         F.max(F.when(known_type, F.col("doc_type_eval"))).alias("_known_max"),
-        F.min(region).alias("_region_min"),
-        F.max(region).alias("_region_max"),
-        F.min(F.when(known_region, F.col("region_eval"))).alias("_region"),
-        F.sum(ROWS).alias(ROWS),
-    )
+        F.sum(ROWS).alias(ROWS), *later)
     typed_date = F.when(F.col("_known_min").isNotNull(), F.col("start_date"))
-    placed_date = F.when(F.col("_region").isNotNull(), F.col("start_date"))
     return by_date.groupBy("doc_no_eval").agg(
-        F.min(F.array_min("_types")).alias("type_min"),
-        F.max(F.array_max("_types")).alias("type_max"),
-        F.max(F.array_contains("_types", pack.national_type)).alias("has_national"),
-        F.max(F.array_contains("_types", pack.unknown_type)).alias("has_unknown"),
-        F.min("_known_min").alias("known_min"),
-        F.max("_known_max").alias("known_max"),
-        F.max_by("_types", typed_date).alias("latest_types"),
-        F.min("_region_min").alias("region_min"),
-        F.max("_region_max").alias("region_max"),
-        F.max_by("_region", placed_date).alias("latest_region"),
-        F.sum(ROWS).alias(ROWS),
-    )
+        F.min("_min").alias("type_min"), F.max("_max").alias("type_max"),
+        F.max("_national").alias("has_national"), F.max("_unknown").alias("has_unknown"),
+        F.min("_known_min").alias("known_min"), F.max("_known_max").alias("known_max"),
+        F.max_by("_max", typed_date).alias("latest_type"), F.max_by("_types", typed_date).alias("latest_types"),
+        F.sum(ROWS).alias(ROWS), *last)
 
 
 def document_decisions(
@@ -143,17 +145,18 @@ def document_decisions(
                  F.lit(pack.national_type), F.lit("-R005")),
         "R006": (one_known, F.col("known_min"), F.lit("-R006")),
         # The code is appended once for each candidate type on the latest date.
-        "R007": (several & (F.size("latest_types") > 0), F.array_max("latest_types"),
-                 F.repeat(F.lit("-R007"), F.size("latest_types"))),
+        "R007": (several & (F.col("latest_types") > 0), F.col("latest_type"),
+                 F.repeat(F.lit("-R007"), F.col("latest_types").cast("int"))),
     }
     decided, code = F.lit(None).cast("string"), F.lit(None).cast("string")
     for rule in reversed([r for r in CONFLICT_RULES if r in rules]):
         cond, value, text = cases[rule]
         decided, code = F.when(cond, value).otherwise(decided), F.when(cond, text).otherwise(code)
-    moved = F.when(F.col("region_min") != F.col("region_max"), F.col("latest_region"))
-    out = document_groups(df, pack).select(
-        "doc_no_eval", decided.alias("doc_type"), code.alias("code"),
-        (moved if regions else F.lit(None).cast("string")).alias("region"), ROWS)
+    moved = F.lit(None).cast("string")
+    if regions:
+        moved = F.when(F.col("region_min") != F.col("region_max"), F.col("latest_region"))
+    out = document_groups(df, pack, regions).select(
+        "doc_no_eval", decided.alias("doc_type"), code.alias("code"), moved.alias("region"), ROWS)
     return out.where(F.col("doc_type").isNotNull() | F.col("region").isNotNull())
 
 

@@ -108,19 +108,19 @@ def drop_generated_holders(df: DataFrame, pack: RulePack) -> DataFrame:
 def parent_holder_rows(df: DataFrame, keys: DataFrame, pack: RulePack) -> DataFrame:
     """R040: one holder row per (parent, document), with the parent's number as policy.
 
-    The row taken is the least by id and then by all its columns, found by an aggregate,
-    so a key with many rows is reduced before the shuffle. `keys` is already distinct.
+    The row taken is the least by id and then by all its columns. The least id of a key comes from an
+    aggregate over a few narrow columns, for the keys asked only; rows with that id are
+    few, so their other columns meet in the last aggregate only. `keys` is already distinct.
     """
     on = ["parent_policy_no", "doc_type_eval", "doc_no_eval"]
-    rest = [c for c in df.columns if c not in on]
+    rest = [c for c in df.columns if c not in (*on, "record_id")]
+    holders = df.where((F.col("party_role") == pack.holder) & F.col("parent_policy_no").isNotNull()
+                       & F.col("doc_type_eval").isNotNull() & F.col("doc_no_eval").isNotNull())
+    ids = holders.groupBy(*on).agg(F.min("record_id").alias("record_id")).join(keys, on, "left_semi")
     least = (
-        df.where((F.col("party_role") == pack.holder)
-                 & F.col("parent_policy_no").isNotNull()
-                 & F.col("doc_type_eval").isNotNull() & F.col("doc_no_eval").isNotNull())
-        .groupBy(*on).agg(F.min(F.struct("record_id", *[c for c in rest if c != "record_id"]))
-                          .alias("_row"))
-        .join(keys, on, "left_semi")
-        .select(*[F.col(c) if c in on else F.col(f"_row.{c}").alias(c) for c in df.columns])
+        holders.join(ids, [*on, "record_id"])
+        .groupBy(*on, "record_id").agg(F.min(F.struct(*rest)).alias("_row"))
+        .select(*[F.col(c) if c in (*on, "record_id") else F.col(f"_row.{c}").alias(c) for c in df.columns])
     )
     return least.withColumns({
         "policy_no": F.col("parent_policy_no").cast("string"),
