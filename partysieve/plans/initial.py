@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partysieve.functions.text import blank_to_null
-from partysieve.operators.ids import renumber
 from partysieve.pack import RulePack
 
 # A copied row keeps the id of its source until here, and the rows added for parent policies
@@ -17,8 +14,8 @@ ID_ORDER = ("record_id", "parent_policy_no", "doc_type_eval", "doc_no_eval", "pa
             "note", "rule_trace", "active")
 
 
-def init_eval_columns(df: DataFrame, pack: RulePack) -> DataFrame:
-    """Trimmed and defaulted columns next to the raw ones.
+def eval_columns(pack: RulePack) -> dict[str, Column]:
+    """Trimmed and defaulted columns, from the raw ones of the same row.
 
     A missing value takes its default; a blank one stays NULL.
     """
@@ -27,7 +24,7 @@ def init_eval_columns(df: DataFrame, pack: RulePack) -> DataFrame:
         return blank_to_null(c if default is None else F.coalesce(c, F.lit(default)))
 
     activity = F.coalesce("activity_code", F.lit("-1"))
-    return df.withColumns({
+    return {
         "currency_code": cleaned("currency_code"),
         "pay_freq_code": cleaned("pay_freq_code"),
         "regulator_product_code": cleaned("regulator_product_code"),
@@ -44,10 +41,8 @@ def init_eval_columns(df: DataFrame, pack: RulePack) -> DataFrame:
         "activity_code_eval": blank_to_null(
             F.when(activity == "-", F.lit("-1")).otherwise(activity)),
         "regime_eval": F.col("regime_id"),
-    })
+    }
 
 
-def initialise(
-    df: DataFrame, pack: RulePack, cut: Callable[[DataFrame, str], DataFrame]
-) -> DataFrame:
-    return init_eval_columns(renumber(df, ID_ORDER, cut), pack)
+def init_eval_columns(df: DataFrame, pack: RulePack) -> DataFrame:
+    return df.withColumns(eval_columns(pack))

@@ -9,7 +9,7 @@ from partysieve.functions.text import all_equal, before_dash, blank_to_null, fol
 from partysieve.operators.keyed import ROWS, attach, lookup, update_from
 from partysieve.operators.rewrite import copy_rows, delete_marked, rewrite_where
 from partysieve.pack import RulePack
-from partysieve.schema import NOT_COPIED_TO_HOLDER
+from partysieve.schema import NOT_COPIED_TO_HOLDER, NOT_COPIED_TO_PARENT_HOLDER
 from partysieve.sources.tables import activity_lookup
 
 LAST_ID = (1 << 63) - 1
@@ -57,7 +57,7 @@ def add_missing_holders(df: DataFrame, pack: RulePack, **options) -> DataFrame:
     """Step 4, R001: every row of a policy without a holder is also added as holder."""
     marked = attach(df, holderless_policies(df, pack), {"policy_no": F.col("policy_no")},
                     ["_product"], name="_holderless", **options)
-    sets = {c: F.lit(None) for c in NOT_COPIED_TO_HOLDER}
+    sets = {c: F.lit(None) for c in NOT_COPIED_TO_HOLDER if c in df.columns}
     sets |= {"party_role": F.lit(pack.holder), "rule_trace": F.lit("R001")}
     return copy_rows(marked, F.col("_holderless").isNotNull(), sets).drop("_holderless")
 
@@ -122,14 +122,14 @@ def parent_holder_rows(df: DataFrame, keys: DataFrame, pack: RulePack) -> DataFr
         .groupBy(*on, "record_id").agg(F.min(F.struct(*rest)).alias("_row"))
         .select(*[F.col(c) if c in (*on, "record_id") else F.col(f"_row.{c}").alias(c) for c in df.columns])
     )
-    return least.withColumns({
+    sets = {
         "policy_no": F.col("parent_policy_no").cast("string"),
         "note": F.lit(pack.parent_holder_note),
         "rule_trace": F.lit("-R040"),
         "active": F.lit(1),
-        "source_file": F.lit(None).cast("string"),
-        "policy_status": F.lit(None).cast("string"),
-    })
+        **{c: F.lit(None).cast("string") for c in NOT_COPIED_TO_PARENT_HOLDER},
+    }
+    return least.withColumns({c: v for c, v in sets.items() if c in df.columns})
 
 
 def add_parent_holders(df: DataFrame, pack: RulePack, **options) -> DataFrame:

@@ -71,8 +71,12 @@ NOT_COPIED_TO_HOLDER = (
     "regime_eval", "parent_policy_no", "source_file", "policy_status",
 )
 
-# What the rules after renumbering read or write. Every other column is only carried, so
-# the run leaves it out of their shuffles and joins it back once at the end.
+# And those that a holder row added for a parent policy does not take over.
+NOT_COPIED_TO_PARENT_HOLDER = ("source_file", "policy_status")
+
+# What the rules read or write, but for `note`, `parent_policy_no` and `regime_id`, which the party
+# steps need. Every other column is only carried, so the run leaves it out of all shuffles and
+# joins it once at the end.
 WORKING_COLUMNS = (
     "record_id", "policy_no", "party_role", "doc_type", "doc_no", "source_system",
     "line_code", "subline_code", "product_code", "product_name", "product_key", "risk_id",
