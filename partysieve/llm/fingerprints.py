@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from partysieve.llm.bbit_dedup import resolve, set_keys
@@ -154,6 +154,14 @@ def _part(ids: pa.Array, bounds: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return np.where(missing, len(bounds) + 1, part).astype(np.int32), doc
 
 
+def _even_keys(spark: SparkSession, parts: int) -> list[int]:
+    """For each of so many partitions a number that Spark's hash deals to it, so that no two parts share one."""
+    at = F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts))
+    found = spark.range(40 * parts).groupBy(at.alias("at")).agg(F.min(F.col("id").cast("int")).alias("key")).collect()
+    keys = {r["at"]: r["key"] for r in found}
+    return [keys.get(i, i) for i in range(parts)]
+
+
 def fingerprint_edits(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
     """Per row doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
@@ -171,6 +179,8 @@ def fingerprint_edits(documents: DataFrame, doc_id: str = "doc_id", text: str =
     bounds, also, nulls = _ranges(rows, parts)
     last = len(bounds) + 1
 
+    keys = _even_keys(spark, parts)
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             part, doc = _part(batch.column("doc_id"), bounds)
@@ -185,7 +195,8 @@ def fingerprint_edits(documents: DataFrame, doc_id: str = "doc_id", text: str =
     dealt = rows.mapInArrow(deal, "doc_id long, text string, part int, halo boolean")
     if nulls:
         dealt = _with_nulls(rows, dealt, bounds)
-    ordered = dealt.repartition(parts, "part").sortWithinPartitions("part", "halo", F.desc_nulls_last("doc_id"), "text")
+    key = F.element_at(F.array(*map(F.lit, keys)), F.pmod("part", F.lit(parts)) + 1)
+    ordered = dealt.repartition(parts, key).sortWithinPartitions("part", "halo", F.desc_nulls_last("doc_id"), "text")
     return ordered.mapInArrow(_compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                                         "edited_fingerprint string, near_edited double, near_next double")
 
