@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _SETTING = "spark.checkpoint.dir"
-_local_root: str | None = None
+_local_root: tempfile.TemporaryDirectory | None = None  # removed when the process ends
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -20,14 +20,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get(_SETTING, None)
     on_cluster = not spark.sparkContext.master.startswith("local")
     if root:
-        if on_cluster and not spark.sparkContext.master.startswith("local-cluster") and _is_local(spark, root):
+        if on_cluster and _is_local(spark, root):
             raise ValueError(f"{_SETTING} is {root}, which is each machine's own folder")
         return root.rstrip("/")
     if on_cluster:
         raise ValueError(f"set {_SETTING} to a folder that every executor can reach")
     if _local_root is None:
-        _local_root = tempfile.mkdtemp(prefix="partysieve-")
-    return _local_root
+        _local_root = tempfile.TemporaryDirectory(prefix="partysieve-", ignore_cleanup_errors=True)
+    return _local_root.name
 
 
 def file_system(spark: SparkSession, path: str):

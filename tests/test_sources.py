@@ -64,6 +64,22 @@ def test_checkpoint_root_is_the_configured_one(spark):
     assert checkpoint_root(spark) == (named.rstrip("/") if named else checkpoint_root(spark))
 
 
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    """On a cluster neither no folder nor one of the machine's own will do."""
+    from types import SimpleNamespace
+
+    from partysieve.sources import stages as module
+
+    def session(root):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: root), sparkContext=SimpleNamespace(master="yarn"))
+
+    monkeypatch.setattr(module, "_is_local", lambda _, root: root.startswith("file:"))
+    assert checkpoint_root(session("hdfs://x/y/")) == "hdfs://x/y"
+    for root in (None, "file:///tmp/x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_root(session(root))
+
+
 def test_append_and_clear(spark, tmp_path):
     target, df = str(tmp_path / "t"), spark.createDataFrame([(1, "a", 2.0)], "x int, y string, z double")
     for _ in range(2):
