@@ -27,7 +27,8 @@ BATCH_ROWS = 500
 #: The bytes that are white space between words.
 WHITE = b" \t\n\r\x0b\x0c"
 
-_shipped: set[str] = set()
+#: By application, the folder with the code it was sent; removed when the process ends.
+_shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -39,12 +40,13 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if spark.sparkContext.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
-        archive = Path(tempfile.mkdtemp(prefix="partysieve-code-")) / "partysieve.zip"
+        folder = tempfile.TemporaryDirectory(prefix="partysieve-code-", ignore_cleanup_errors=True)
+        archive = Path(folder.name) / "partysieve.zip"
         with zipfile.ZipFile(archive, "w") as out:
             for file in sorted(package.rglob("*.py")):
                 out.write(file, file.relative_to(package.parent))
         spark.sparkContext.addPyFile(str(archive))
-        _shipped.add(spark.sparkContext.applicationId)
+        _shipped[spark.sparkContext.applicationId] = folder
 
 
 def utf8(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
