@@ -15,7 +15,7 @@ from partysieve.llm.words import small_batches
 #: Pages that the labeller is fitted on, the first by a digest of their id, each at most so long.
 SAMPLE, SAMPLE_CHARS = 300, 100_000
 #: Pages of varied layout that are built from the sample's text.
-VARIED = 1600
+VARIED = 2000
 HIDDEN = 16
 #: Blocks of a padded batch.
 CELLS = 20_000
@@ -157,6 +157,7 @@ ASIDE_NAMES = (
     "popup modal overlay newsletter subscribe signup menu nav navbar navigation breadcrumb breadcrumbs pagination pager sidebar side widget "
     "widgets rail related recommended more share sharing social comment comments commentlist respond replies reply disqus discussion "
     "responses footer foot copyright legal header masthead logo topbar search login form contact tags").split()
+NEUTRAL_NAMES = "wrap wrapper box list item items block section area inner container row col posts thread group top bottom left right site".split()
 MAIN_NAMES = "content post entry story text body articlebody page maincontent detail".split()
 
 
@@ -180,6 +181,9 @@ def varied(good: list[str], other: list[str], n: int, seed: int = 23) -> tuple[l
         text = pick(rarely if draw.random() < 0.25 else mostly)
         return " ".join(text.split(" ")[:int(draw.integers(1, 4))]) if draw.random() < 0.2 else text
 
+    def extra():
+        return (pick(NEUTRAL_NAMES),) if draw.random() < 0.4 else ()
+
     pages, labels = [], []
     for _ in range(n):
         rows: list[tuple[Block, float]] = []
@@ -189,7 +193,7 @@ def varied(good: list[str], other: list[str], n: int, seed: int = 23) -> tuple[l
 
         def boilerplate(path, names):
             kind = int(draw.integers(9))
-            name = (pick(ASIDE_NAMES),)
+            name = (pick(ASIDE_NAMES), *extra())
             if kind < 2:
                 tag = pick(("nav", "div", "header", "menu", "div"))
                 own = name if tag == "div" or draw.random() < 0.4 else ()
@@ -213,11 +217,11 @@ def varied(good: list[str], other: list[str], n: int, seed: int = 23) -> tuple[l
             boilerplate(root, ())
         kind = draw.random()
         if kind < 0.4:
-            place, names = (*root, pick(MAIN)), (pick(MAIN_NAMES),) if draw.random() < 0.2 else ()
+            place, names = (*root, pick(MAIN)), (pick(MAIN_NAMES), *extra()) if draw.random() < 0.2 else ()
         elif kind < 0.55:
             place, names = (*root, "main", pick(("article", "div", "section"))), ()
         elif kind < 0.97:
-            place, names = (*root, pick(("div", "section", "td"))), (pick(MAIN_NAMES),)
+            place, names = (*root, pick(("div", "section", "td"))), (pick(MAIN_NAMES), *extra())
         else:
             place, names = (*root, "div"), ()
         if draw.random() < 0.85:
@@ -226,7 +230,7 @@ def varied(good: list[str], other: list[str], n: int, seed: int = 23) -> tuple[l
             tag = (pick(("h2", "h3")),) if draw.random() < 0.08 else ("ul", "li") if draw.random() < 0.1 else (
                 pick(("blockquote", "figcaption", "td", "pre", "div", "dd")),) if draw.random() < 0.1 else ("p",)
             add(said(good, other), (*place, *tag), names, float(draw.random() < 0.05), 1)
-            if draw.random() < 0.1:
+            if draw.random() < 0.2:
                 boilerplate(place, names)
         if draw.random() < 0.3:
             boilerplate(place, names)
