@@ -95,7 +95,7 @@ class Labeller:
         state = np.concatenate([a, b, x], axis=2)
         return state @ self.v + self.c, state
 
-    def fit(self, pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = 9, size: int = 32, rate: float = 0.01) -> None:
+    def fit(self, pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = 12, size: int = 32, rate: float = 0.01) -> None:
         """Logistic loss over all blocks, by Adam."""
         draw = np.random.default_rng(17)
         first = [np.zeros_like(p) for p in self.parameters()]
@@ -118,7 +118,7 @@ class Labeller:
                          *self.back.backward(x[::-1], keep[1], d_state[::-1, :, HIDDEN:2 * HIDDEN]),
                          np.einsum("tn,tnk->k", d, state), d.sum(keepdims=True).reshape(1)]
                 step += 1
-                now = rate * (0.5 ** (epoch // 3))
+                now = rate * (0.5 ** (epoch // 4))
                 for p, g, m, v in zip(self.parameters(), grads, first, second):
                     m += 0.1 * (g - m)
                     v += 0.001 * (g * g - v)
@@ -182,7 +182,7 @@ def varied(good: list[str], other: list[str], n: int, seed: int = 23) -> tuple[l
         return " ".join(text.split(" ")[:int(draw.integers(1, 4))]) if draw.random() < 0.2 else text
 
     def extra():
-        return (pick(NEUTRAL_NAMES),) if draw.random() < 0.4 else ()
+        return (pick(NEUTRAL_NAMES),) if draw.random() < 0.5 else ()
 
     pages, labels = [], []
     for _ in range(n):
@@ -210,9 +210,10 @@ def varied(good: list[str], other: list[str], n: int, seed: int = 23) -> tuple[l
             else:
                 tag, own = (pick(("section", "div", "ol", "ul")), name) if draw.random() < 0.85 else ("aside", ())
                 for _ in range(int(draw.integers(1, 7))):
-                    add(said(good, other), (*path, tag, pick(("p", "div", "li", "article", "h3"))), (*names, *own), 0.0, 0)
+                    add(said(good, other), (*path, tag, pick(("p", "p", "div", "li", "article", "h2", "h3"))), (*names, *own), 0.0, 0)
 
-        root = ("html", "body", "div") if draw.random() < 0.4 else ("html", "body")
+        kind = draw.random()
+        root = ("html", "body", "div") if kind < 0.4 else ("html", "body") if kind < 0.8 else ("body",) if kind < 0.9 else ()
         for _ in range(int(draw.integers(0, 4))):
             boilerplate(root, ())
         kind = draw.random()
@@ -224,7 +225,7 @@ def varied(good: list[str], other: list[str], n: int, seed: int = 23) -> tuple[l
             place, names = (*root, pick(("div", "section", "td"))), (pick(MAIN_NAMES), *extra())
         else:
             place, names = (*root, "div"), ()
-        if draw.random() < 0.85:
+        if draw.random() < 0.75:
             add(said(good, other), (*place, pick(("h1", "h1", "h2"))), names, 0.0, 1)
         for _ in range(int(draw.integers(1, 16))):
             tag = (pick(("h2", "h3")),) if draw.random() < 0.08 else ("ul", "li") if draw.random() < 0.1 else (

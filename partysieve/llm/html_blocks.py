@@ -28,7 +28,7 @@ _TOKENS = re.compile(
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
-PATH, WORDS, NUMBERS = 128, 32, 8
+PATH, WORDS, NUMBERS = 256, 32, 8
 WIDTH = PATH + WORDS + NUMBERS
 
 
