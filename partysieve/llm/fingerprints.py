@@ -154,12 +154,12 @@ def _part(ids: pa.Array, bounds: list[int]) -> tuple[np.ndarray, np.ndarray]:
     return np.where(missing, len(bounds) + 1, part).astype(np.int32), doc
 
 
-def _even_keys(spark: SparkSession, parts: int) -> list[int]:
+def _even_keys(spark: SparkSession, parts: int) -> np.ndarray:
     """For each of so many partitions a number that Spark's hash deals to it, so that no two parts share one."""
     at = F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts))
     found = spark.range(40 * parts).groupBy(at.alias("at")).agg(F.min(F.col("id").cast("int")).alias("key")).collect()
     keys = {r["at"]: r["key"] for r in found}
-    return [keys.get(i, i) for i in range(parts)]
+    return np.array([keys.get(i, i) for i in range(parts)], np.int32)
 
 
 def fingerprint_edits(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
@@ -187,21 +187,21 @@ def fingerprint_edits(documents: DataFrame, doc_id: str = "doc_id", text: str =
             rows = np.arange(len(part))
             more = [(i, to) for i in rows[part < last].tolist() for to in also.get(int(doc[i]), ())]
             take = np.append(rows, [i for i, _ in more]).astype(np.int64)
+            to = np.append(part, [to for _, to in more]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(take)), batch.column("text").take(pa.array(take)),
-                 pa.array(np.append(part, [to for _, to in more]).astype(np.int32)), pa.array(np.arange(len(take)) >= len(rows))],
-                names=["doc_id", "text", "part", "halo"])
+                [batch.column("doc_id").take(pa.array(take)), batch.column("text").take(pa.array(take)), pa.array(to),
+                 pa.array(np.arange(len(take)) >= len(rows)), pa.array(keys[to % parts])],
+                names=["doc_id", "text", "part", "halo", "key"])
 
-    dealt = rows.mapInArrow(deal, "doc_id long, text string, part int, halo boolean")
+    dealt = rows.mapInArrow(deal, "doc_id long, text string, part int, halo boolean, key int")
     if nulls:
-        dealt = _with_nulls(rows, dealt, bounds)
-    key = F.element_at(F.array(*map(F.lit, keys)), F.pmod("part", F.lit(parts)) + 1)
-    ordered = dealt.repartition(parts, key).sortWithinPartitions("part", "halo", F.desc_nulls_last("doc_id"), "text")
+        dealt = _with_nulls(rows, dealt, bounds, keys)
+    ordered = dealt.repartition(parts, "key").sortWithinPartitions("part", "halo", F.desc_nulls_last("doc_id"), "text")
     return ordered.mapInArrow(_compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                                         "edited_fingerprint string, near_edited double, near_next double")
 
 
-def _with_nulls(rows: DataFrame, dealt: DataFrame, bounds: list[int]) -> DataFrame:
+def _with_nulls(rows: DataFrame, dealt: DataFrame, bounds: list[int], keys: np.ndarray) -> DataFrame:
     """The first null row follows the least id, so its text also goes there. Null ids are one part."""
     last = len(bounds) + 1
     first = rows.where("doc_id IS NULL").agg(F.min(F.coalesce("text", F.lit("")))).first()[0]
@@ -210,7 +210,7 @@ def _with_nulls(rows: DataFrame, dealt: DataFrame, bounds: list[int]) -> DataFra
         to = last
     else:
         to = int(_part(pa.array([nearest], pa.int64()), bounds)[0][0])
-    halo = rows.sparkSession.createDataFrame([(None, first, to, True)], dealt.schema)
+    halo = rows.sparkSession.createDataFrame([(None, first, to, True, int(keys[to % len(keys)]))], dealt.schema)
     return dealt.withColumn("text", F.coalesce("text", F.lit(""))).unionByName(halo)
 
 
