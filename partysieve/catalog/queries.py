@@ -33,10 +33,11 @@ from partysieve.plans import (
     regions,
     run,
 )
+from partysieve.schema import DIMENSIONS, PARTY_POLICY
 from partysieve.sources import sinks
 from partysieve.sources.audit import AuditTrail
 from partysieve.sources.stages import StageArea
-from partysieve.sources.tables import activity_lookup
+from partysieve.sources.tables import activity_lookup, load_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -608,6 +609,20 @@ def regimes_all(spark, sf):
     return regimes.highest_regime(df).select(*REGIME)
 
 
+@query
+def src_load_tables(spark, sf):
+    """The extract under other column names and the reference tables by name, through `load_tables`."""
+    path = StageArea(spark).new_path("theirs")
+    theirs = {c: f"src_{c}" for c in PARTY_POLICY.fieldNames()}
+    extract(spark, sf).select(*[F.col(c).alias(t) for c, t in theirs.items()]).write.parquet(path)
+    sources = {"party_policy": path}
+    for name in DIMENSIONS:
+        sources[name] = f"loaded_{name}"
+        dimension(spark, sf, name).createOrReplaceTempView(sources[name])
+    fact, _ = load_tables(spark, sources, {"party_policy": theirs})
+    return plain(fact)
+
+
 @query
 def audit_full_run(spark, sf):
     """Rows that each rule marked in a full run, as its audit tells them; R020 names rules of two steps."""
