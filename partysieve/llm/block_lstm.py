@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -242,15 +243,12 @@ def varied(good: list[str], other: list[str], n: int, seed: int = 23) -> tuple[l
     return pages, labels
 
 
-def train(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample: int = SAMPLE) -> Labeller:
-    """A labeller fitted on at most `sample` pages of at most SAMPLE_CHARS characters.
+def fitted(sources: list[str]) -> Labeller:
+    """A labeller fitted on pages that have an article or main element and on varied pages with their text.
 
-    Pages with an article or main element label themselves by their elements and names; their text
-    also fills pages of other layouts. Without any such page only built-in words fill them.
+    Without any such page only built-in words fill the varied ones.
     """
-    rows = (pages.where(F.length(html) <= SAMPLE_CHARS).select(F.xxhash64(page_id, html).alias("key"), F.col(html).alias("html"))
-            .orderBy("key", "html").limit(sample).collect())
-    own = [(p, y) for p in (blocks(r["html"]) for r in rows) if p and (y := weak_label(p)) is not None]
+    own = [(p, y) for p in map(blocks, sources) if p and (y := weak_label(p)) is not None]
     good = [b.text for p, y in own for b, k in zip(p, y) if k] or ["A first sentence of some text.", "Another one, somewhat longer than that."]
     other = [b.text for p, y in own for b, k in zip(p, y) if not k] or ["Home", "About us", "All rights reserved."]
     made, labels = varied(good, other, VARIED)
@@ -259,6 +257,24 @@ def train(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample
     return out
 
 
+def train(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample: int = SAMPLE) -> Labeller:
+    """A labeller fitted on at most `sample` pages of at most SAMPLE_CHARS characters, in one task.
+
+    The pages are the first by a digest of id and html, so any order of rows gives the same one.
+    """
+    small_batches(pages.sparkSession)
+    rows = (pages.where(F.length(html) <= SAMPLE_CHARS).select(F.xxhash64(page_id, html).alias("key"), F.col(html).cast("string").alias("html"))
+            .orderBy("key", "html").limit(sample))
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sources = [x for batch in batches for x in batch.column("html").to_pylist()]
+        if sources:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fitted(sources))], pa.binary())], names=["model"])
+
+    found = rows.mapInArrow(of, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else fitted([])
+
+
 def main_text(page: list[Block], good: np.ndarray) -> str:
     return "\n\n".join(b.text for b, k in zip(page, good) if k)
 
