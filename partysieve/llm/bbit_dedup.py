@@ -156,7 +156,7 @@ def compare_tiles(percent: int):
         marks = np.stack([np.frombuffer(x, np.uint8) for x in group["signature"]])
         parent = list(range(len(ids)))
         first: dict[int, int] = {}
-        joined = group["joined"].to_numpy()
+        labels = group["label"].to_numpy()
 
         def root(i: int) -> int:
             while parent[i] != i:
@@ -164,11 +164,8 @@ def compare_tiles(percent: int):
                 i = parent[i]
             return i
 
-        for i, j in enumerate(joined):  # what a hub has joined before
-            if j >= 0:
-                parent[root(i)] = root(first.setdefault(j, i))
-        for i in range(len(ids)):
-            parent[root(i)] = root(first.setdefault((-1, ids[i]), i))
+        for i, label in enumerate(labels):  # what hubs have joined before, and rows of one id
+            parent[root(i)] = root(first.setdefault(label, i))
         links = []
         targets = np.flatnonzero(~ask)
         for i in np.flatnonzero(ask):
@@ -199,8 +196,9 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     full minima are candidates; they are gathered into clusters, outside which there is no link. In a
     cluster the document with the most band mates, its hub, is compared with all others on full
     sets, as long as that joins many; mostly nothing is left then, so that groups of thousands cost
-    one comparison for each. What is left is compared in tiles with the rest of the cluster, skipping pairs
-    that are joined already, that differ in size, or whose corrected b-bit estimate is far too low.
+    one comparison for each. Rows of different hubs, and rows of none, are then compared in tiles, skipping pairs
+    that are joined already, that are too far apart by their distances to a hub, that differ in size, or
+    whose corrected b-bit estimate is far too low.
     A tile gives at most one link for each document. No pair of a group is emitted otherwise.
 
     A null doc_id has no links, a null component_id and is kept. Rows with one doc_id are one document,
@@ -243,33 +241,45 @@ def resolve(documents: DataFrame, signed_: DataFrame, percent: int, stages: Stag
 
 
 def _links(sets: DataFrame, central: DataFrame, percent: int, stages: StageArea) -> DataFrame:
-    """Links on full sets that give each cluster's components."""
+    """Links on full sets that give each cluster's components.
+
+    The rows that the hub of a round joins are its star; star 0 are the rows of no hub. Jaccard distances obey the
+    triangle inequality: a row linked to some row of a star has a similarity of 2 * percent / 100 - 1 or more to the
+    star's hub. A row therefore asks only earlier stars whose hub is that close, and of these only the ones
+    that links to hubs have not joined to it yet. Every row of star 0 also asks star 0.
+    """
     size = F.size("shingles")
-    state = sets.join(central, "doc_id").withColumn("joined", F.lit(-1).cast("long"))
-    state = stages.cut(state.select("doc_id", "cluster", "one", "shingles", "signature", "central", "joined"), "state-0")
+    state = sets.join(central, "doc_id").withColumns({"star": F.lit(0), "close": F.array().cast("array<int>")})
+    state = stages.cut(state.select("doc_id", "cluster", "one", "shingles", "signature", "central", "star", "close"), "state-0")
     links: list[DataFrame] = []
     step, left = 0, stages.rows["state-0"]
     while left:
         step += 1
-        open_ = state.where("joined < 0")
+        open_ = state.where("star = 0")
         hub = open_.groupBy("cluster").agg(F.max(F.struct("central", F.negative("doc_id").alias("back"), "one")).alias("h"))
         hub = state.join(hub.select("cluster", F.negative("h.back").alias("doc_id"), F.col("h.one").alias("one")),
                          ["cluster", "doc_id", "one"])
         hub = hub.select("cluster", F.col("doc_id").alias("hub"), F.col("shingles").alias("hub_set"))
-        both = F.size(F.array_intersect("shingles", "hub_set"))
-        tested = (state.join(hub, "cluster", "left")
-                  .withColumn("linked", F.coalesce(
-                      (F.least(size, F.size("hub_set")) * 100 >= F.greatest(size, F.size("hub_set")) * percent)
-                      & (both * 100 >= (size + F.size("hub_set") - both) * percent), F.lit(False))))
-        # A row that an earlier hub has joined keeps it; a link to both hubs joins the hubs.
+        small, large = F.least(size, F.size("hub_set")), F.greatest(size, F.size("hub_set"))
+        # A row that has a star is only asked for links, an open one also whether it is close.
+        least = F.when(F.col("star") == 0, 2 * percent - 100).otherwise(percent)
+        both = F.when(small * 100 >= large * least, F.size(F.array_intersect("shingles", "hub_set")))
+
+        def alike(share: int):
+            return F.coalesce(F.col("both") * 100 >= (size + F.size("hub_set") - F.col("both")) * share, F.lit(False))
+
+        tested = (state.join(hub, "cluster", "left").withColumn("both", both)
+                  .withColumns({"linked": alike(percent), "near": alike(2 * percent - 100)}))
+        # A row that an earlier hub has joined stays in its star; a link to both hubs joins the hubs.
         tested = tested.select("doc_id", "cluster", "one", "shingles", "signature", "central",
-                               F.when(F.col("joined") >= 0, F.col("joined")).when(F.col("linked"), F.col("hub"))
-                               .otherwise(-1).alias("joined"),
+                               F.when((F.col("star") == 0) & F.col("linked"), step).otherwise(F.col("star")).alias("star"),
+                               F.when((F.col("star") == 0) & F.col("near") & ~F.col("linked"), F.array_append("close", F.lit(step)))
+                               .otherwise(F.col("close")).alias("close"),
                                F.when(F.col("linked"), F.col("hub")).alias("by"))
         tested = stages.cut(tested, f"state-{step}")
         links.append(tested.where("by IS NOT NULL AND by <> doc_id").select(F.col("doc_id").alias("a"), F.col("by").alias("b")))
         state = tested.drop("by")
-        counts = state.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("joined") < 0).alias("u"))
+        counts = state.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("star") == 0).alias("u"))
         # Rows that the tiles would have to read, against those of another hub's round.
         tiles = F.ceil(F.col("n") / TILE)
         now = counts.agg(F.sum("u"), F.sum(F.when(F.col("u") > 0, F.col("n") * F.ceil(F.col("u") / TILE) + F.col("u") * tiles)),
@@ -277,20 +287,37 @@ def _links(sets: DataFrame, central: DataFrame, percent: int, stages: StageArea)
         before, left = left, now[0] or 0
         if not left or now[1] <= 4 * now[2] or left > 0.9 * before:
             break
-    if left:
-        counts = counts.where("u > 0").withColumns({"rows": F.ceil(F.col("n") / TILE), "columns": F.ceil(F.col("u") / TILE)})
-        state = state.join(counts, "cluster")
-        spread = F.xxhash64("doc_id", "one")
-        targets = (state.withColumn("row", F.pmod(spread, F.col("rows")))
-                   .withColumn("column", F.explode(F.sequence(F.lit(0).cast("long"), F.col("columns") - 1)))
-                   .withColumn("asks", F.lit(False)))
-        askers = (state.where("joined < 0").withColumn("column", F.pmod(spread, F.col("columns")))
-                  .withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)))
-                  .withColumn("asks", F.lit(True)))
-        pairs = targets.unionByName(askers, allowMissingColumns=True).select(
-            "cluster", "row", "column", "doc_id", "shingles", "signature", "joined", "asks")
-        links.append(pairs.groupBy("cluster", "row", "column").applyInPandas(compare_tiles(percent), "a long, b long"))
     out = sets.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")).where("false")
     for more in links:
         out = out.unionByName(more)
+    if left or step > 1:  # one star that has all rows needs nothing more
+        out = out.unionByName(_between(state, out, percent, stages))
     return stages.cut(out, "links")
+
+
+def _between(state: DataFrame, known: DataFrame, percent: int, stages: StageArea) -> DataFrame:
+    """Links between stars that the known ones leave apart, and of rows without a star."""
+    labels = components(known, stages, "hubs").select(F.col("node").alias("doc_id"), "component")
+    marked = (state.select("cluster", "doc_id", "one", "star", "close").join(labels, "doc_id", "left")
+              .select("cluster", "doc_id", "one", "star", "close", F.coalesce("component", "doc_id").alias("label")))
+    marked = stages.cut(marked, "marked")
+    stars = marked.groupBy("cluster", "star").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("home"))
+    asked = F.explode(F.when(F.col("star") == 0, F.array_append("close", F.lit(0))).otherwise(F.col("close")))
+    asks = (marked.select("cluster", "doc_id", "one", "label", asked.alias("star")).join(stars, ["cluster", "star"])
+            .where("CASE WHEN star = 0 THEN n > 1 ELSE label <> home END"))
+    asks = stages.cut(asks.select("cluster", "star", "doc_id", "one", "label", "n"), "asks")
+    counts = (asks.groupBy("cluster", "star").agg(F.count(F.lit(1)).alias("u"), F.max("n").alias("n"))
+              .select("cluster", "star", F.ceil(F.col("n") / TILE).alias("rows"), F.ceil(F.col("u") / TILE).alias("columns")))
+    spread = F.xxhash64("doc_id", "one")
+    sets = state.select("doc_id", "one", "shingles", "signature")
+    targets = (state.drop("close").join(counts, ["cluster", "star"]).join(marked.select("doc_id", "one", "label"), ["doc_id", "one"])
+               .withColumn("row", F.pmod(spread, F.col("rows")))
+               .withColumn("column", F.explode(F.sequence(F.lit(0).cast("long"), F.col("columns") - 1)))
+               .withColumn("asks", F.lit(False)))
+    askers = (asks.drop("n").join(counts, ["cluster", "star"]).join(sets, ["doc_id", "one"])
+              .withColumn("column", F.pmod(spread, F.col("columns")))
+              .withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)))
+              .withColumn("asks", F.lit(True)))
+    pairs = targets.unionByName(askers, allowMissingColumns=True).select(
+        "cluster", "star", "row", "column", "doc_id", "shingles", "signature", "label", "asks")
+    return pairs.groupBy("cluster", "star", "row", "column").applyInPandas(compare_tiles(percent), "a long, b long")

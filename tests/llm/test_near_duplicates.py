@@ -70,6 +70,35 @@ def test_families(spark, monkeypatch, tile):
     assert rows(bbit_dedup.near_duplicates(frame)) == brute(docs)
 
 
+def test_links_between_stars(spark, monkeypatch):
+    """Two stars bridged by rows that neither hub links to the other, and chains of 9 beside a large cluster."""
+    monkeypatch.setattr(bbit_dedup, "TILE", 8)
+
+    def changed(words_, places, mark):
+        out = list(words_)
+        for place in places:
+            out[place] = f"{mark}{place}"
+        return out
+
+    base = [f"s{i}" for i in range(200)]
+    bridge = [base]  # three words changed a step: a step is a link, two are not
+    for k in range(3):
+        bridge.append(changed(bridge[-1], (20 + 30 * k, 28 + 30 * k, 36 + 30 * k), f"b{k}x"))
+    texts = list(bridge)
+    for star in (bridge[0], bridge[3]):
+        texts += [changed(star, (110 + 2 * k,), f"m{len(texts)}x") for k in range(40)]
+    for chain in range(6):
+        link = [f"c{chain}w{i}" for i in range(200)]
+        for k in range(9):
+            texts.append(link)
+            link = changed(link, (10 + 20 * k, 16 + 20 * k, 22 + 20 * k), f"c{chain}k{k}x")
+    docs = [(d, " ".join(t)) for d, t in enumerate(texts, -5)]
+    want = brute(docs)
+    assert len({r[2] for r in want}) == 7
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert rows(bbit_dedup.near_duplicates(frame)) == want
+
+
 def test_estimates():
     draw = random.Random(5)
     one = {f"{i}" for i in range(600)}
