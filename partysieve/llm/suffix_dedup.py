@@ -1,4 +1,4 @@
-"""Substring dedup by a sparse suffix array: sort suffixes at minimisers, compare neighbours, extend."""
+"""Substring dedup by a sparse suffix array: sort suffixes at minimisers, compare neighbours, windows where they differ."""
 
 from __future__ import annotations
 
@@ -22,13 +22,13 @@ def split(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     """Remove repeats of at least `min_words` words of which a document with a smaller id has one too.
 
     Of all suffixes only those at content-selected minimisers are kept (about one in eighteen
-    words); any repeat of the least length has at least one. They are sorted by content: the
-    words at the minimiser first, the rest of the right context, then the left one, then the
-    document. Range partitions with the document in their key also split a suffix
+    words); any repeat of the least length has at least one. They are sorted by hashes: of the
+    words at the minimiser first, of the block's rest to the right, then to the left, then by the
+    document. Equal content is adjacent; the order has no other meaning. Range partitions with the document in their key also split a suffix
     that a third of all documents have. Neighbours in this order are compared: those equal to
     the right and to the left repeat in whole, and the first of them, with the least
     document, stays. Neighbours that share the minimiser's words but differ on a side are
-    extended word by word from there. The first and the last suffixes of a partition may go on
+    not extended from there: `passages.cut` compares all their windows by hash. The first and the last suffixes of a partition may go on
     in another one: a few rows of each partition's ends are joined to decide on them.
 
     Results and the cases of nulls, repeated rows and clashing names are those of
