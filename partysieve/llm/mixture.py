@@ -27,7 +27,8 @@ _WORDS = r"[^\x20\x09-\x0D]+"
 @dataclass
 class Mix:
     """rows: row, doc_id, size, source_id. carried: row, and the documents' columns under `of`. sources: source_id, source,
-    source_size, weight, target, quota. slots: slot, source_id, rank. pieces: slot, row, epoch, words."""
+    source_size, weight, target, quota. slots: slot, source_id, rank. pieces: slot, row, epoch,
+    from (where the row's words start in its source's stream), words."""
 
     rows: DataFrame
     carried: DataFrame
@@ -140,7 +141,7 @@ def mixture(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", so
               .withColumn("to", F.least("to", "quota")).where(F.col("from") < F.col("to")))
     cut = (placed.withColumn("rank", F.explode(F.expr(f"sequence(`from` div {block}, (`to` - 1) div {block})")))
            .withColumn("words", F.least(F.col("to"), (F.col("rank") + 1) * block) - F.greatest(F.col("from"), F.col("rank") * block)))
-    pieces = cut.join(slots, ["source_id", "rank"]).select("slot", "row", "epoch", "words")
+    pieces = cut.join(slots, ["source_id", "rank"]).select("slot", "row", "epoch", "from", "words")
     return Mix(rows, narrow.select("row", "of"), sources, slots, pieces)
 
 
@@ -153,10 +154,16 @@ def taken(documents: DataFrame, **options) -> DataFrame:
 
 
 def repeated(documents: DataFrame, **options) -> DataFrame:
-    """The documents with their own columns, each as often as the mix takes it, to the nearest whole number."""
+    """The documents with their own columns, each as often as the mix takes it, to the nearest whole number.
+
+    The copies are in mixing order: each stands where the schedule first takes words of it in its epoch.
+    """
     mixed = mixture(documents, carry=True, **options)
-    words = mixed.pieces.groupBy("row").agg(F.sum("words").alias("taken"))
+    # An epoch begins only after the one before has taken the whole document, so there are as many as copies or one more.
+    words = (mixed.pieces.groupBy("row", "epoch").agg(F.sum("words").alias("words"), F.min("slot").alias("slot"), F.min("from").alias("from"))
+             .groupBy("row").agg(F.sum("words").alias("taken"), F.sort_array(F.collect_list(F.struct("epoch", "slot", "from"))).alias("places")))
     times = F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size"))).cast("int")
-    copies = mixed.rows.where("size > 0").join(words, "row").select("row", times.alias("times")).where("times > 0")
-    return (mixed.carried.join(copies, "row").withColumn("time", F.explode(F.sequence(F.lit(1), F.col("times"))))
-            .select("of.*"))
+    copies = mixed.rows.where("size > 0").join(words, "row").select("row", "places", times.alias("times")).where("times > 0")
+    return (mixed.carried.join(copies, "row").withColumn("place", F.explode(F.slice("places", 1, F.col("times"))))
+            .select("of", "place.slot", "place.from", "row").repartitionByRange("slot", "from", "row")
+            .sortWithinPartitions("slot", "from", "row").select("of.*"))

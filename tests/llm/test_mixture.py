@@ -64,3 +64,20 @@ def test_repeated_keeps_columns(spark):
     out = m.repeated(frame)
     assert out.columns == frame.columns
     assert out.groupBy("doc_id", "text").count().agg({"count": "max"}).first()[0] <= 4
+
+
+def test_repeated_is_in_mixing_order(spark):
+    docs = [(i, "w " * 10, "abc"[i % 3]) for i in range(600)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(5)
+    first = {(r["doc_id"], r["epoch"]): r["slot"] for r in _places(frame).collect()}
+    seen, slots = {}, []
+    for r in m.repeated(frame, block=10).collect():
+        epoch = seen.get(r["doc_id"], 0)
+        seen[r["doc_id"]] = epoch + 1
+        slots.append(first[r["doc_id"], epoch])
+    assert slots == sorted(slots) and len(slots) > 600
+
+
+def _places(frame):
+    mixed = m.mixture(frame, block=10)
+    return mixed.pieces.join(mixed.rows.select("row", "doc_id"), "row").groupBy("doc_id", "epoch").agg({"slot": "min"}).withColumnRenamed("min(slot)", "slot")
