@@ -171,24 +171,26 @@ def train(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     """Trees fitted on at most `sample` labelled documents; None if there are not both kinds of labels.
 
     Only the sample's ids and statistics reach the driver. Null ids and labels are left out; an id
-    with different labels counts as each of them.
+    with different labels counts as each of them, an id with several texts has the first by a digest.
     """
     spark = documents.sparkSession
     small_batches(spark)
     picked = (labels.select(F.col(label_id).cast("long").alias("doc_id"), F.col(quality).cast("int").alias("good")).dropna()
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "good").limit(sample))
+              .distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "good").limit(sample))
     picked = spark.createDataFrame([tuple(r) for r in picked.collect()], "doc_id long, good int")
-    chosen = narrowed(documents, doc_id, text).join(F.broadcast(picked), "doc_id")
+    chosen = narrowed(documents, doc_id, text).join(F.broadcast(picked), "doc_id").withColumn("digest", F.xxhash64("text"))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = utf8(batch.column("text"))
             for a, b in steps(texts):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), batch.column("good").slice(a, b - a),
-                     pa.array(list(counts(texts[a:b])[1]), pa.list_(pa.float64()))], names=["doc_id", "good", "x"])
+                    [batch.column("doc_id").slice(a, b - a), batch.column("good").slice(a, b - a), batch.column("digest").slice(a, b - a),
+                     pa.array(list(counts(texts[a:b])[1]), pa.list_(pa.float64()))], names=["doc_id", "good", "digest", "x"])
 
-    rows = chosen.mapInArrow(of, "doc_id long, good int, x array<double>").toPandas()
+    rows = chosen.mapInArrow(of, "doc_id long, good int, digest long, x array<double>")
+    rows = (rows.groupBy("doc_id", "good").agg(F.min(F.struct("digest", "x")).alias("first"))
+            .select("doc_id", "good", F.col("first.x").alias("x")).toPandas())
     rows = rows.assign(x=rows["x"].map(tuple)).sort_values(["doc_id", "good", "x"])
     y = (rows["good"].to_numpy() > 0).astype(float)
     if not 0 < y.sum() < len(y):

@@ -37,6 +37,16 @@ def test_judged_rows(spark):
     assert q.train(documents(spark), one_kind) is None
 
 
+def test_repeated_id_is_one_document(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(q, "fit", lambda x, *_: seen.append(x))
+    docs = spark.createDataFrame([(1, f"text {'word ' * i}") for i in range(50)] + [(2, "a"), (3, "b c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (1, 1), (2, 1), (3, 0)], "doc_id long, quality int")
+    for n in (4, 1):
+        q.train(docs.repartition(n), labels)
+    assert len(seen[0]) == 4 and np.array_equal(seen[0], seen[1])
+
+
 def test_monotone():
     draw = np.random.default_rng(3)
     x = draw.random((3000, 4))
