@@ -12,8 +12,11 @@ from xxhash import xxh64_intdigest
 
 from partysieve.llm.words import hashed
 
-#: Elements whose text is never shown as text of the page.
-SILENT = "script|style|title|template|svg|iframe|object|noscript|textarea|select|button|math|canvas|video|audio"
+#: Elements whose text is never shown as text of the page. Raw ones run to the end of the page if nothing ends them; of the
+#: others only the start tag is dropped then.
+RAW = "script|style|title|textarea|iframe"
+SILENT = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in (
+    "template", "svg", "object", "noscript", "select", "button", "canvas", "video", "audio", "annotation", "annotation-xml")}
 #: Elements that begin and end a block.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -23,7 +26,7 @@ BLOCKS = frozenset(
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 _TOKENS = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({SILENT})\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))"
+    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))"
     r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/a-zA-Z][^>]*(?:>|\Z)|([^<]+|<)""", re.S | re.I)
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
@@ -51,6 +54,7 @@ def blocks(source: str) -> list[Block]:
     parts: list[str] = []
     linked = total = 0
     in_link = False
+    at, endless = 0, set()
 
     def flush() -> None:
         nonlocal linked, total
@@ -68,7 +72,8 @@ def blocks(source: str) -> list[Block]:
             if stack[i][0] in until:
                 return
 
-    for found in _TOKENS.finditer(source):
+    while found := _TOKENS.match(source, at):
+        at = found.end()
         text = found.group(5)
         if text is not None:
             parts.append(text)
@@ -79,6 +84,12 @@ def blocks(source: str) -> list[Block]:
         if not tag:
             continue
         tag = tag.lower()
+        if tag in SILENT and not found.group(2) and not found.group(4).endswith("/") and tag not in endless:
+            if end := SILENT[tag].search(source, at):
+                at = end.end()
+            else:
+                endless.add(tag)
+            continue
         if tag == "a":
             in_link = not found.group(2)
         if tag not in BLOCKS:

@@ -35,6 +35,16 @@ def test_blocks():
     assert features([[], blocks("<p>a")])[0].shape[0] == 0
 
 
+def test_silent_elements():
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds") == ["so x=2 holds"]
+    for tag in ("button", "object", "select", "video", "noscript", "svg", "template", "canvas", "audio"):
+        assert texts(f"<p>a<{tag} class='q'>no<p>no</{tag.upper()} >b<{tag}/>c") == ["abc"]
+        assert texts(f"<div>a<{tag} class='q'></div><article><p>b</p></article>") == ["a", "b"]
+    for tag in ("script", "style", "title", "textarea", "iframe"):
+        assert texts(f"<div>a<{tag}></div><p>no") == ["a"]
+    assert texts("<button><p>a" * 20_000) == ["a"] * 20_000
+
+
 def test_gradients():
     draw = np.random.default_rng(2)
     pages = [draw.normal(size=(n, b.WIDTH)).astype(np.float32) for n in (5, 3)]
