@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from partysieve.llm.html_blocks import WIDTH, Block, blocks, features
 from partysieve.llm.words import small_batches
 
-#: Pages that the labeller is fitted on, the first by a digest of their id, each at most so long.
-SAMPLE, SAMPLE_CHARS = 300, 100_000
+#: Pages that the labeller is fitted on, the first by a digest, and the characters they may have together.
+SAMPLE, SAMPLE_CHARS = 300, 30_000_000
+#: Blocks of a sequence that the labeller is fitted on; longer pages are several.
+STRETCH = 2000
 #: Pages of varied layout that are built from the sample's text.
 VARIED = 2000
 HIDDEN = 16
@@ -253,18 +255,38 @@ def fitted(sources: list[str]) -> Labeller:
     other = [b.text for p, y in own for b, k in zip(p, y) if not k] or ["Home", "About us", "All rights reserved."]
     made, labels = varied(good, other, VARIED)
     out = Labeller()
-    out.fit(features([*(p for p, _ in own), *made]), [*(y for _, y in own), *labels])
+    parts = [(x[i:i + STRETCH], y[i:i + STRETCH])
+             for x, y in zip(features([*(p for p, _ in own), *made]), [*(y for _, y in own), *labels]) for i in range(0, len(y), STRETCH)]
+    out.fit([x for x, _ in parts], [y for _, y in parts])
     return out
 
 
+def sampled(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> DataFrame:
+    """Key and html of the first `sample` pages by a digest of id and html, in one partition, equal pages once.
+
+    Of these go in, in turn, the ones that `chars` characters together leave room for, whatever their own length; if
+    none fits, the shortest. Only digests and lengths reach the driver.
+    """
+    rows = pages.select(F.xxhash64(page_id, html).alias("key"), F.col(html).cast("string").alias("html")).where("html IS NOT NULL")
+    first = rows.select("key", F.length("html").alias("n")).distinct().orderBy("key", "n").limit(sample).collect()
+    taken, total = [], 0
+    for key, n in first:
+        if total + n <= chars:
+            taken.append(key)
+            total += n
+    if first and not taken:
+        taken = [min(first, key=lambda r: (r["n"], r["key"]))["key"]]
+    return (rows.where(F.col("key").isin(taken)).groupBy("key").agg(F.min("html").alias("html"))
+            .repartition(1).sortWithinPartitions("key"))
+
+
 def train(pages: DataFrame, page_id: str = "page_id", html: str = "html", sample: int = SAMPLE) -> Labeller:
-    """A labeller fitted on at most `sample` pages of at most SAMPLE_CHARS characters, in one task.
+    """A labeller fitted on at most `sample` pages of SAMPLE_CHARS characters together, in one task.
 
-    The pages are the first by a digest of id and html, so any order of rows gives the same one.
+    The pages are those of `sampled`, so any order of rows gives the same one.
     """
     small_batches(pages.sparkSession)
-    rows = (pages.where(F.length(html) <= SAMPLE_CHARS).select(F.xxhash64(page_id, html).alias("key"), F.col(html).cast("string").alias("html"))
-            .orderBy("key", "html").limit(sample))
+    rows = sampled(pages, page_id, html, sample)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sources = [x for batch in batches for x in batch.column("html").to_pylist()]

@@ -35,6 +35,14 @@ def test_blocks():
     assert features([[], blocks("<p>a")])[0].shape[0] == 0
 
 
+def test_long_pages_are_sampled(spark):
+    long = "<article>" + "<p>long text here</p>" * 6000
+    frame = spark.createDataFrame([(i % 6, f"{long}{i % 6}") for i in range(9)] + [(9, None)], "page_id long, html string")
+    assert sorted(r["html"] for r in b.sampled(frame).collect()) == [f"{long}{i}" for i in range(6)]
+    assert b.sampled(frame, chars=2 * len(long) + 2).count() == 2 and b.sampled(frame, chars=10).count() == 1
+    assert b.sampled(frame.where("false")).count() == 0
+
+
 def test_silent_elements():
     assert texts("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds") == ["so x=2 holds"]
     for tag in ("button", "object", "select", "video", "noscript", "svg", "template", "canvas", "audio"):
