@@ -58,7 +58,7 @@ class StageArea:
 
     def new_path(self, name: str) -> str:
         """A folder for a stage; a name that comes again stands for the new one."""
-        self._paths[name] = f"{self.path}/{len(self._paths):02d}-{name}-{uuid.uuid4().hex[:8]}"
+        self._paths[name] = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
         return self._paths[name]
 
     def cut(self, df: DataFrame, name: str, counts: Mapping[str, Column] | None = None) -> DataFrame:
@@ -83,6 +83,11 @@ class StageArea:
         files, path = file_system(self.spark, f"{self._paths.get(name, self.path)}/_SUCCESS")
         return files.exists(path)
 
+    def drop(self, name: str) -> None:
+        """Delete one stage, once nothing reads from it any more."""
+        files, path = file_system(self.spark, self._paths.pop(name))
+        files.delete(path, True)
+
     def clear(self) -> None:
         """Delete the folder, once nothing reads from it any more."""
         files, path = file_system(self.spark, self.path)
