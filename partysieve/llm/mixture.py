@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from partysieve.sources.identity import numbered
 from partysieve.sources.stages import StageArea
 
 #: Words of a block.
@@ -21,13 +22,15 @@ CELLS = 4096
 #: 2 / (1 + sqrt(5)); its multiples' fractions are the schedule's points.
 GOLDEN = "0.618033988749894848"
 
+#: The column that holds a row's number while it has the documents' own names beside it.
+_ROW = "mixture: row"
 _WORDS = r"[^\x20\x09-\x0D]+"
 
 
 @dataclass
 class Mix:
-    """rows: row, doc_id, size, source_id. carried: row, and the documents' columns under `of`. sources: source_id, source,
-    source_size, weight, target, quota. slots: slot, source_id, rank. pieces: slot, row, epoch,
+    """rows: row, doc_id, size, source_id. carried: row, and the documents' columns under `of`, read afresh from the source.
+    sources: source_id, source, source_size, weight, target, quota. slots: slot, source_id, rank. pieces: slot, row, epoch,
     from (where the row's words start in its source's stream), words."""
 
     rows: DataFrame
@@ -113,28 +116,28 @@ def _shuffled(rows: DataFrame, epochs: int) -> DataFrame:
 
 def mixture(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
             weights: tuple[int, ...] = (5, 2, 1), percent: int = 150, epochs: int = 2, block: int = BLOCK,
-            carry: bool = False, stages: StageArea | None = None) -> Mix:
+            stages: StageArea | None = None) -> Mix:
     """Mix documents so that each source's words come to its target.
 
     Sizes are words. A source's documents are shuffled by a digest of their id, afresh for each
     epoch, and its stream of words is cut into blocks of `block` words; slot after slot takes the
     next block of the source that the schedule names. The last block ends at the quota, so a
-    source gives its target rounded down, and no document more than `epochs` times its size. With `carry` the
-    rows keep the documents' columns, in a struct `of`.
+    source gives its target rounded down, and no document more than `epochs` times its size.
 
     A null text has no words, a null source is a source of its own, the last one. Null and repeated
-    ids only share a place in the shuffle. An empty table gives empty frames.
+    ids only share a place in the shuffle; equal rows are rows of their own. Very long texts are only counted. An
+    empty table gives empty frames. Other columns are carried, whatever their names.
     """
     spark = documents.sparkSession
     stages = stages or StageArea(spark)
-    own = F.struct(*(F.col(f"`{c}`") for c in documents.columns)) if carry else F.lit(None).cast("string")
     words: Column = F.coalesce(F.regexp_count(F.col(text), F.lit(_WORDS)), F.lit(0)).cast("long")
-    narrow = documents.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("doc_id"),
-                              F.col(source).cast("string").alias("source"), words.alias("size"), own.alias("of"))
-    narrow = stages.cut(narrow, "sizes")  # row is fixed from here on
+    known = numbered(documents, _ROW, stages.cut, "documents")
+    narrow = known.select(F.col(f"`{_ROW}`").alias("row"), F.col(doc_id).cast("long").alias("doc_id"),
+                          F.col(source).cast("string").alias("source"), words.alias("size"))
+    narrow = stages.cut(narrow, "sizes")
     sources = targets(narrow.groupBy("source").agg(F.sum("size").alias("source_size")), weights, percent, epochs)
     sources = stages.cut(sources, "sources")
-    rows = (narrow.drop("of").join(sources.select("source_id", F.col("source").alias("name")), F.col("source").eqNullSafe(F.col("name")))
+    rows = (narrow.join(sources.select("source_id", F.col("source").alias("name")), F.col("source").eqNullSafe(F.col("name")))
             .drop("name"))
     slots = stages.cut(schedule(spark, sources, block), "slots")
     placed = (_shuffled(rows, epochs).join(sources.select("source_id", "quota"), "source_id")
@@ -142,7 +145,8 @@ def mixture(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", so
     cut = (placed.withColumn("rank", F.explode(F.expr(f"sequence(`from` div {block}, (`to` - 1) div {block})")))
            .withColumn("words", F.least(F.col("to"), (F.col("rank") + 1) * block) - F.greatest(F.col("from"), F.col("rank") * block)))
     pieces = cut.join(slots, ["source_id", "rank"]).select("slot", "row", "epoch", "from", "words")
-    return Mix(rows, narrow.select("row", "of"), sources, slots, pieces)
+    carried = known.select(F.col(f"`{_ROW}`").alias("row"), F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("of"))
+    return Mix(rows, carried, sources, slots, pieces)
 
 
 def taken(documents: DataFrame, **options) -> DataFrame:
@@ -156,14 +160,20 @@ def taken(documents: DataFrame, **options) -> DataFrame:
 def repeated(documents: DataFrame, **options) -> DataFrame:
     """The documents with their own columns, each as often as the mix takes it, to the nearest whole number.
 
-    The copies are in mixing order: each stands where the schedule first takes words of it in its epoch.
+    The copies are in mixing order: each stands where the schedule first takes words of it in its epoch. What
+    is decided about a row is narrow; the documents themselves are joined to it by their row number, and each copy goes
+    to the partition of its slot, which follows from the slot by arithmetic. Null and empty texts have no words and
+    are not taken; ties, repeated rows, clashing names and empty tables are as in `mixture`.
     """
-    mixed = mixture(documents, carry=True, **options)
+    mixed = mixture(documents, **options)
     # An epoch begins only after the one before has taken the whole document, so there are as many as copies or one more.
     words = (mixed.pieces.groupBy("row", "epoch").agg(F.sum("words").alias("words"), F.min("slot").alias("slot"), F.min("from").alias("from"))
              .groupBy("row").agg(F.sum("words").alias("taken"), F.sort_array(F.collect_list(F.struct("epoch", "slot", "from"))).alias("places")))
     times = F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size"))).cast("int")
     copies = mixed.rows.where("size > 0").join(words, "row").select("row", "places", times.alias("times")).where("times > 0")
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = mixed.slots.agg(F.coalesce(F.max("slot"), F.lit(0)) + 1).first()[0]
+    part = F.expr(f"cast(place.slot * {parts} div {slots} as int)")
     return (mixed.carried.join(copies, "row").withColumn("place", F.explode(F.slice("places", 1, F.col("times"))))
-            .select("of", "place.slot", "place.from", "row").repartitionByRange("slot", "from", "row")
+            .select("of", "place.slot", "place.from", "row", part.alias("part")).repartitionById(parts, "part")
             .sortWithinPartitions("slot", "from", "row").select("of.*"))

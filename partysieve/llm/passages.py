@@ -127,20 +127,21 @@ def _batch(ids, copies, n: int, **columns) -> pa.RecordBatch:
         [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in _ARROW], schema=_ARROW)
 
 
-def grouped(occurrences: DataFrame) -> tuple[DataFrame, DataFrame]:
+def grouped(occurrences: DataFrame, stages: StageArea) -> tuple[DataFrame, DataFrame]:
     """Which blocks repeat in whole, and which may repeat in part, from joins by their hashes.
 
     Equal blocks are represented by the least document: others repeat in whole. Where an anchor
-    has blocks that differ, their representatives' windows must be compared.
+    has blocks that differ, their representatives' windows must be compared. Aggregates are
+    written before they are joined back: Spark can then split the rows of a hot block or anchor.
     """
     rows = occurrences.where("doc_id IS NOT NULL")
-    classes = rows.groupBy(*SAME).agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last"))
+    classes = stages.cut(rows.groupBy(*SAME).agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")), "block-classes")
     forks = (classes.groupBy("anchor")
              .agg(F.count(F.lit(1)).alias("n"), F.min("lead").alias("low"), F.max("last").alias("high"))
              .where("n > 1 AND low < high").select("anchor"))
     whole = rows.join(classes.where("lead < last"), SAME).where("doc_id > lead")
-    leads = rows.join(classes.select(*SAME, "lead"), SAME).where("doc_id = lead")
-    return whole, leads.join(forks, "anchor", "left_semi")
+    forked = stages.cut(classes.join(forks, "anchor", "left_semi").select(*SAME, "lead"), "forked")
+    return whole, rows.join(forked, SAME).where("doc_id = lead")
 
 
 def windows_of(texts: list[bytes], asked: list[list[tuple[int, int]]], length: int):
@@ -178,14 +179,11 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> tuple[list[bytes], int
     return kept, len(words) - len(kept), merged
 
 
-def cut(documents: DataFrame, found: DataFrame, whole: DataFrame, partly: DataFrame,
-        stages: StageArea, length: int) -> tuple[DataFrame, DataFrame]:
-    """Remove repeated words.
+def repeated_spans(documents: DataFrame, whole: DataFrame, partly: DataFrame, stages: StageArea, length: int) -> tuple[DataFrame, DataFrame]:
+    """The texts that may have repeats (doc_id, copy, text), and the repeated spans of words of those that do.
 
-    documents: doc_id, text. found: what `blocks` gave. whole: blocks that repeat in whole
-    (doc_id, copy, start, windows). partly: blocks whose windows must be compared one by one.
-    Returns documents without a repeat (doc_id, n_words, sha) and, for the others, doc_id, text,
-    and their repeated spans of words.
+    documents: doc_id, text. whole: blocks that repeat in whole (doc_id, copy, start, windows). partly: blocks
+    whose windows must be compared one by one. Both results are written: spans has doc_id, copy, spans.
     """
     marks = (whole.select("doc_id", "copy", F.lit(None).cast("struct<start: int, windows: int>").alias("mark"))
              .unionByName(partly.select("doc_id", "copy", F.struct("start", "windows").alias("mark")))
@@ -209,14 +207,26 @@ def cut(documents: DataFrame, found: DataFrame, whole: DataFrame, partly: DataFr
                         names=["doc_id", "copy", "start", "one", "two"])
 
     windows = stages.cut(concerned.mapInArrow(compare, "doc_id long, copy long, start int, one long, two long"), "windows")
-    earliest = windows.groupBy("one", "two").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last")).where("lead < last")
+    # Written, so that the join reads both sides afresh and Spark can split a window that very many documents have.
+    earliest = stages.cut(windows.groupBy("one", "two").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last"))
+                          .where("lead < last").drop("last"), "earliest")
     repeated = windows.join(earliest, ["one", "two"]).where("doc_id > lead")
     spans = (repeated.select("doc_id", "copy", F.col("start").alias("from"), (F.col("start") + length).alias("to"))
              .unionByName(whole.select("doc_id", "copy", F.col("start").alias("from"),
                                        (F.col("start") + F.col("windows") + (length - 1)).alias("to")))
              .groupBy("doc_id", "copy").agg(F.collect_set(F.struct("from", "to")).alias("spans")))
-    spans = stages.cut(spans, "spans")
-    hit = concerned.select("doc_id", "copy", "text").join(spans, ["doc_id", "copy"])
+    return concerned.select("doc_id", "copy", "text"), stages.cut(spans, "spans")
+
+
+def cut(documents: DataFrame, found: DataFrame, whole: DataFrame, partly: DataFrame,
+        stages: StageArea, length: int) -> tuple[DataFrame, DataFrame]:
+    """Remove repeated words; see `repeated_spans`. found: what `blocks` gave.
+
+    Returns documents without a repeat (doc_id, n_words, sha) and, for the others, doc_id, copy, text,
+    and their repeated spans of words.
+    """
+    concerned, spans = repeated_spans(documents, whole, partly, stages, length)
+    hit = concerned.join(spans, ["doc_id", "copy"])
     rest = found.where("sha IS NOT NULL").join(spans.select("doc_id", "copy"), ["doc_id", "copy"], "left_anti")
     return rest.select("doc_id", "n_words", "sha"), hit.select("doc_id", "copy", "text", "spans")
 

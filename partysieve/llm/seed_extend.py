@@ -22,7 +22,7 @@ def split(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     window which also starts in a document with a smaller id.
 
     No pairs are formed: a group of copies is compared with its least document, by aggregates
-    that combine on the map side and joins that Spark can split. Returns documents without a
+    that combine on the map side and are written, and by joins of them to the rows, whose hot keys Spark can split. Returns documents without a
     repeat (doc_id, n_words, sha) and those with one (doc_id, copy, text, spans).
 
     Null and empty texts have no words. A document with a null id neither loses words nor makes
@@ -35,8 +35,9 @@ def split(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     rows = found.where("start IS NOT NULL").drop("n_words", "sha")
     shared = (rows.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
               .where("low < high").select("anchor"))
+    shared = stages.cut(shared, "shared-anchors")
     seeds = stages.cut(rows.join(shared, "anchor", "left_semi"), "seeds")
-    return passages.cut(documents, found, *passages.grouped(seeds), stages, min_words)
+    return passages.cut(documents, found, *passages.grouped(seeds, stages), stages, min_words)
 
 
 def dedup(documents: DataFrame, **options) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from partysieve.llm import passages
 from partysieve.sources.stages import StageArea
@@ -37,6 +38,21 @@ def split(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     """
     documents = passages.narrowed(documents, doc_id, text)
     stages = stages or StageArea(documents.sparkSession)
+    found, whole, partly = _decided(documents, min_words, stages)
+    return passages.cut(documents, found, whole, partly, stages, min_words)
+
+
+def repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 50,
+            stages: StageArea | None = None) -> DataFrame:
+    """Only the spans that `split` removes, of the documents that have any: doc_id, copy, spans."""
+    documents = passages.narrowed(documents, doc_id, text)
+    stages = stages or StageArea(documents.sparkSession)
+    _, whole, partly = _decided(documents, min_words, stages)
+    return passages.repeated_spans(documents, whole, partly, stages, min_words)[1]
+
+
+def _decided(documents: DataFrame, min_words: int, stages: StageArea) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All suffixes, those of blocks that repeat in whole, and those of blocks that may repeat in part."""
     found = stages.cut(passages.blocks(documents, min_words), "suffixes")
     suffixes = found.where("start IS NOT NULL AND doc_id IS NOT NULL").drop("n_words", "sha")
     array = suffixes.repartitionByRange(*_SORTED).sortWithinPartitions(*_SORTED)
@@ -52,7 +68,7 @@ def split(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
               .withColumn("kind", F.when(F.col("doc_id") > F.col("lead"), "whole").when(F.col("fork"), "part")))
     columns = ["doc_id", "copy", "start", "windows", "kind"]
     decided = kinds.where("kind IN ('whole', 'part')").select(*columns).unionByName(opened.select(*columns))
-    return passages.cut(documents, found, decided.where("kind = 'whole'"), decided.where("kind = 'part'"), stages, min_words)
+    return found, decided.where("kind = 'whole'"), decided.where("kind = 'part'")
 
 
 def dedup(documents: DataFrame, **options) -> DataFrame:
@@ -64,16 +80,14 @@ def cleaned(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
             stages: StageArea | None = None) -> DataFrame:
     """doc_id and text with the repeats cut out, of those documents only that have any."""
     _, hit = split(documents, doc_id, text, min_words, stages)
+    return hit.select("doc_id", "copy", without_spans("text", "spans").alias("text"))
 
-    def of(batches):
-        for batch in batches:
-            spans = batch.column("spans").to_pylist()
-            texts = [_rest(x, [(s["from"], s["to"]) for s in own])
-                     for x, own in zip(passages.utf8(batch.column("text")), spans)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("copy"), pa.array(texts, pa.string())],
-                                             names=["doc_id", "copy", "text"])
 
-    return hit.mapInArrow(of, "doc_id long, copy long, text string")
+@F.arrow_udf(StringType())
+def without_spans(text: pa.Array, spans: pa.Array) -> pa.Array:
+    """Texts without the words of their spans and the white space after each of them; a null stays null."""
+    return pa.array([None if t is None else _rest(t, [(s["from"], s["to"]) for s in own or ()])
+                     for t, own in zip(text.cast(pa.binary()).to_pylist(), spans.to_pylist())], pa.string())
 
 
 def _rest(text: bytes, spans: list[tuple[int, int]]) -> str:
