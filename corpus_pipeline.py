@@ -26,10 +26,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps one document, that with the smallest id, of each group linked by 85 of 100 shingles.
 
     Texts without words and rows with a null id stay. Rows with one id are one document and stay or
-    go together.
+    go together. Of what the operator writes, only the ids of documents that go are left.
     """
-    groups = bbit_dedup.near_duplicates(docs, percent=85)
-    gone = groups.where("NOT kept").select("doc_id").distinct()
+    work = StageArea(spark)
+    groups = bbit_dedup.near_duplicates(docs, percent=85, stages=work)
+    gone = StageArea(spark).cut(groups.where("NOT kept").select("doc_id").distinct(), "gone")
+    work.clear()
     return docs.join(gone, "doc_id", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
@@ -37,14 +39,17 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Cuts passages of 50 words or more out of all documents but that with the smallest id; nothing else changes.
 
     A document that has nothing left goes. n_chars, where there is such a column, follows the text.
-    Null texts and ids are passed through.
+    Null texts and ids are passed through. Of what the operator writes, only the places to cut are left.
     """
-    rests = suffix_dedup.cleaned(docs).dropDuplicates(["doc_id", "copy"]).select(
-        F.col("doc_id").alias("repeats: id"), F.col("copy").alias("repeats: copy"), F.col("text").alias("repeats: rest"))
-    joined = docs.join(rests, (F.col("doc_id") == F.col("`repeats: id`"))
-                       & (passages.copy_of(F.col("text")) == F.col("`repeats: copy`")), "left")
+    work = StageArea(spark)
+    repeats = StageArea(spark).cut(suffix_dedup.repeats(docs, stages=work), "repeats")
+    work.clear()
+    named = repeats.select(F.col("doc_id").alias("repeats: id"), F.col("copy").alias("repeats: copy"), F.col("spans").alias("repeats: spans"))
+    spans, text = F.col("`repeats: spans`"), F.col("text")
+    joined = docs.join(named, (F.col("doc_id") == F.col("`repeats: id`")) & (passages.copy_of(text) == F.col("`repeats: copy`")), "left")
+    joined = joined.withColumn("repeats: rest", suffix_dedup.without_spans(F.when(spans.isNotNull(), text), spans))
     rest = F.col("`repeats: rest`")
-    now = {"text": F.coalesce(rest, "text")}
+    now = {"text": F.coalesce(rest, text)}
     if "n_chars" in docs.columns:
         now["n_chars"] = F.when(rest.isNull(), F.col("n_chars")).otherwise(F.length(rest))
     kept = joined.where(rest.isNull() | rest.rlike(r"[^\x20\x09-\x0D]"))
@@ -52,12 +57,20 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources mixed to weights 5, 2, 1, ...: each document as often as the mix takes it, not at all, once or twice."""
+    """Sources mixed to weights 5, 2, 1, ...: each document as often as the mix takes it, not at all, once or twice.
+
+    Documents without words are not taken; a null source is a source. Null and repeated ids, equal rows, other
+    columns of any name and an empty table are as in `mixture.mixture`. Numbers about rows are all that is written.
+    """
     return mixture.repeated(docs, weights=(5, 2, 1), percent=150, epochs=2)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and digests of the byte-level BPE ids of each document and of what they decode to."""
+    """doc_id, n_tokens and digests of the byte-level BPE ids of each document and of what they decode to.
+
+    Null and empty texts have no ids; a null id is passed through, equal rows are rows of their own, other columns are
+    left out whatever their names. Very long texts are encoded whole.
+    """
     return bpe_matrix.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
@@ -69,14 +82,17 @@ STAGES = [
     ("byte-level BPE", encoded),
 ]
 
-#: SQL can express neither the trees nor the encoding; the tests check each stage against brute force.
+#: SQL can express neither the trees nor the encoding; the tests check the stages one by one.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder; what lies between them is written to the shared folder."""
+    """All stages over the documents of a folder. What a stage wrote goes once the next one is written."""
     area = StageArea(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = area.cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs, written = area.cut(stage(spark, docs, sf_dir), name.replace(" ", "-")), name.replace(" ", "-")
+        if before is not None:
+            area.drop(before)
+        before = written
     return docs
