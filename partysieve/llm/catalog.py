@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partysieve.llm import bbit_dedup, block_lstm, bpe_matrix, fingerprints, host_reputation, mixture, quality_trees, seed_extend, suffix_dedup, token_counts
+from partysieve.llm import bbit_dedup, block_lstm, bpe_matrix, fingerprints, host_reputation, mixture, quality_trees, seed_extend, simhash_ring, suffix_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: Statements for DuckDB; queries without one are tested against brute force.
@@ -221,3 +221,9 @@ def op2_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of each page."""
     pages = table(spark, sf_dir, "pages")
     return block_lstm.extract(pages, block_lstm.train(pages))
+
+
+@query
+def op11_simhash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose SimHash fingerprints differ in three bits or fewer."""
+    return simhash_ring.near_duplicates(table(spark, sf_dir, "documents"))

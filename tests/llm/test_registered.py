@@ -27,7 +27,7 @@ def test_query(spark, con, name):
 
 def test_registered():
     names = registered.queries()
-    assert {n.split("_")[0] for n in catalog.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in catalog.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(catalog.QUERIES) < set(names) and "pipeline" in names and set(catalog.SQL) < set(registered.oracle_sql())
 
 
