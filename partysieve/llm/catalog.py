@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partysieve.llm import bbit_dedup, block_lstm, bpe_matrix, fingerprints, host_reputation, mixture, quality_trees, seed_extend, simhash_ring, suffix_dedup, token_counts
+from partysieve.llm import (
+    bbit_dedup,
+    bit_slices,
+    block_lstm,
+    bpe_matrix,
+    fingerprints,
+    host_reputation,
+    mixture,
+    quality_trees,
+    seed_extend,
+    simhash_ring,
+    suffix_dedup,
+    token_counts,
+)
+from partysieve.sources.stages import StageArea
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: Statements for DuckDB; queries without one are tested against brute force.
@@ -227,3 +241,34 @@ def op2_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_simhash_ring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose SimHash fingerprints differ in three bits or fewer."""
     return simhash_ring.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_bit_sliced_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for each benchmark item."""
+    documents, stages = table(spark, sf_dir, "documents"), StageArea(spark)
+    return bit_slices.search(bit_slices.build(documents, stages), documents, table(spark, sf_dir, "benchmark"), stages, k=20)
+
+
+SQL["op12_bit_sliced_search"] = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+sized AS (SELECT doc_id, t, CAST(len(t) AS BIGINT) AS n FROM split WHERE len(t) > 0),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sized),
+occurs AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(t) AS term FROM sized) GROUP BY ALL),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM occurs GROUP BY term), totals),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL),
+scored AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms)))) AS score
+  FROM asked JOIN weighed USING (term) JOIN occurs USING (term), totals GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 20
+"""
