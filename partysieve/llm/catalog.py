@@ -21,6 +21,7 @@ from partysieve.llm import (
     simhash_ring,
     suffix_dedup,
     token_counts,
+    zfast_trie,
 )
 from partysieve.sources.stages import StageArea
 
@@ -272,3 +273,46 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS
 FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
 WHERE rank <= 20
 """
+
+
+@query
+def op13_zfast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefixes that rebuilt conversations share."""
+    return zfast_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+SQL["op13_zfast_trie"] = r"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id AS c, md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS turn,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(md5(coalesce(role, '')) || md5(coalesce(text, '')))) AS pos
+  FROM conversations AS t WHERE conv_id IS NOT NULL),
+crc AS (
+  SELECT c, CAST(c AS VARCHAR) AS s, 0 AS i, CAST(4294967295 AS BIGINT) AS v FROM (SELECT DISTINCT c FROM turns)
+  UNION ALL
+  SELECT c, s, i + 1, xor(x >> 1, CASE WHEN x % 2 = 1 THEN CAST(3988292384 AS BIGINT) ELSE 0 END)
+  FROM (SELECT c, s, i, CASE WHEN i % 8 = 0 THEN xor(v, ascii(substr(s, i // 8 + 1, 1))) ELSE v END AS x FROM crc WHERE i < 8 * len(s))),
+convs AS (
+  SELECT c, xor(v, 4294967295) % 4 AS h, c - c % 20 AS donor, (SELECT count(*) FROM turns AS t WHERE t.c = crc.c - crc.c % 20) AS n
+  FROM crc WHERE i = 8 * len(s)),
+rebuilt AS (
+  SELECT convs.c, pos AS d, turn, words FROM convs JOIN turns ON turns.c = donor AND pos <= h
+  UNION ALL SELECT c, pos - h + least(h, n), turn, words FROM convs JOIN turns USING (c) WHERE pos > h),
+keyed AS (
+  SELECT c, d, words, md5(string_agg(turn, '') OVER (PARTITION BY c ORDER BY d)) AS k FROM rebuilt
+  UNION ALL SELECT c, 0, 0, '' FROM convs),
+paths AS (SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS up, d = max(d) OVER (PARTITION BY c) AS ends FROM keyed),
+nodes AS (
+  SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, max(words) AS words, max(up) AS up,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM paths GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+grown AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (d, k)),
+below AS (SELECT DISTINCT a.d, a.k, b.d AS bd, b.k AS bk FROM paths AS a JOIN paths AS b ON a.c = b.c AND b.d >= a.d),
+sums AS (
+  SELECT below.d, below.k, count_if(n_children = 0) AS n_leaves, sum((n_convs - 1) * words) AS saved
+  FROM below JOIN grown ON grown.d = bd AND grown.k = bk GROUP BY below.d, below.k)
+SELECT g.conv_id, CAST(g.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(g.n_convs AS BIGINT) AS n_convs,
+       CAST(g.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, g.ends_sha256
+FROM grown AS g JOIN sums USING (d, k) LEFT JOIN nodes AS p ON p.d = g.d - 1 AND p.k = g.up
+"""
