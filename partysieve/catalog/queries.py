@@ -450,8 +450,7 @@ HOLDER_ROW = ("policy_no", "doc_type_eval", "doc_no_eval", "party_name", "note",
 def _parent_rows(spark, sf):
     df = with_parents(spark, sf)
     kept = parties.drop_generated_holders(df, PACK)
-    added = parties.parent_holder_rows(kept, parties.parent_holder_keys(df, PACK), PACK)
-    return df, kept, added
+    return df, kept, parties.parent_holder_rows(df, PACK, StageArea(spark).cut)
 
 
 def _numbered_parent_rows(spark, sf):

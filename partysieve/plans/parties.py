@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from partysieve.functions.text import all_equal, before_dash, blank_to_null, folded
-from partysieve.operators.keyed import ROWS, attach, lookup, update_from
+from partysieve.functions.text import all_equal, before_dash, blank_to_null, folded, is_like
+from partysieve.operators.keyed import BROADCAST_ROWS, ROWS, attach, bounded, lookup, update_from
 from partysieve.operators.rewrite import copy_rows, delete_marked, rewrite_where
 from partysieve.pack import RulePack
 from partysieve.schema import NOT_COPIED_TO_HOLDER, NOT_COPIED_TO_PARENT_HOLDER
@@ -105,22 +107,45 @@ def drop_generated_holders(df: DataFrame, pack: RulePack) -> DataFrame:
     return delete_marked(df, "note", f"%{pack.parent_holder_note}%")
 
 
-def parent_holder_rows(df: DataFrame, keys: DataFrame, pack: RulePack) -> DataFrame:
+_PARENT_KEY = ("parent_policy_no", "doc_type_eval", "doc_no_eval")
+
+
+def _generated(pack: RulePack):
+    """Rows that an earlier run added for parent policies."""
+    return is_like(F.col("rule_trace"), "%-R040%") | is_like(F.col("note"), f"%{pack.parent_holder_note}%")
+
+
+def parent_holder_ids(df: DataFrame, pack: RulePack) -> DataFrame:
+    """The least id of a holder row for each (parent, document) that R040 is for, in one narrow pass.
+
+    `asked` keys have an active holder of a group policy; rows of an earlier run count there, but are not copied.
+    """
+    holder = F.col("party_role") == pack.holder
+    asked = _group_holder(pack) & (F.col("active") == 1) & (F.col("parent_policy_no") > 0)
+    known = df.where(holder & F.col("parent_policy_no").isNotNull() & F.col("doc_type_eval").isNotNull() & F.col("doc_no_eval").isNotNull())
+    keys = known.groupBy(*_PARENT_KEY).agg(
+        F.max(F.coalesce(asked, F.lit(False))).alias("_asked"), F.min(F.when(~_generated(pack), F.col("record_id"))).alias("record_id"))
+    return keys.where(F.col("_asked") & F.col("record_id").isNotNull()).drop("_asked")
+
+
+def parent_holder_rows(df: DataFrame, pack: RulePack, cut: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """R040: one holder row per (parent, document), with the parent's number as policy.
 
-    The row taken is the least by id and then by all its columns. The least id of a key comes from an
-    aggregate over a few narrow columns, for the keys asked only; rows with that id are
-    few, so their other columns meet in the last aggregate only. `keys` is already distinct.
+    The row taken is the least by id and then by all its columns. The keys and their least ids come from one
+    narrow aggregate; only then the rows with those ids are looked up with all their columns, and
+    the few that share one are told apart. With `cut` the keys are written, counted, and broadcast if
+    their number allows it, so that rows are not shuffled for the look-up.
     """
-    on = ["parent_policy_no", "doc_type_eval", "doc_no_eval"]
-    rest = [c for c in df.columns if c not in (*on, "record_id")]
-    holders = df.where((F.col("party_role") == pack.holder) & F.col("parent_policy_no").isNotNull()
-                       & F.col("doc_type_eval").isNotNull() & F.col("doc_no_eval").isNotNull())
-    ids = holders.groupBy(*on).agg(F.min("record_id").alias("record_id")).join(keys, on, "left_semi")
+    rest = [c for c in df.columns if c not in (*_PARENT_KEY, "record_id")]
+    ids = parent_holder_ids(df, pack)
+    if cut is not None:
+        ids = cut(ids, "parent-keys")
+        if bounded(ids, BROADCAST_ROWS):
+            ids = F.broadcast(ids)
     least = (
-        holders.join(ids, [*on, "record_id"])
-        .groupBy(*on, "record_id").agg(F.min(F.struct(*rest)).alias("_row"))
-        .select(*[F.col(c) if c in (*on, "record_id") else F.col(f"_row.{c}").alias(c) for c in df.columns])
+        df.where((F.col("party_role") == pack.holder) & ~_generated(pack)).join(ids, [*_PARENT_KEY, "record_id"])
+        .groupBy(*_PARENT_KEY, "record_id").agg(F.min(F.struct(*rest)).alias("_row"))
+        .select(*[F.col(c) if c in (*_PARENT_KEY, "record_id") else F.col(f"_row.{c}").alias(c) for c in df.columns])
     )
     sets = {
         "policy_no": F.col("parent_policy_no").cast("string"),
@@ -132,13 +157,11 @@ def parent_holder_rows(df: DataFrame, keys: DataFrame, pack: RulePack) -> DataFr
     return least.withColumns({c: v for c, v in sets.items() if c in df.columns})
 
 
-def add_parent_holders(df: DataFrame, pack: RulePack, **options) -> DataFrame:
+def add_parent_holders(df: DataFrame, pack: RulePack, cut: Callable[[DataFrame, str], DataFrame] | None = None, **options) -> DataFrame:
     """R0041 and R040. The added rows have the greatest possible id until they are
     renumbered; they overwrite what R0041 changes, so they are taken from the rows before."""
-    added = parent_holder_rows(
-        drop_generated_holders(df, pack), parent_holder_keys(df, pack), pack
-    ).withColumn("record_id", F.lit(LAST_ID))
-    kept = drop_generated_holders(deactivate_group_holders(df, pack, **options), pack)
+    added = parent_holder_rows(df, pack, cut).withColumn("record_id", F.lit(LAST_ID))
+    kept = drop_generated_holders(deactivate_group_holders(df, pack, cut=cut, **options), pack)
     return kept.unionByName(added)
 
 
