@@ -144,6 +144,7 @@ def update_from(
     code: str | Column | None = None,
     order: Sequence[str] = (),
     where: Column | None = None,
+    rule: str | None = None,
     **options,
 ) -> DataFrame:
     """Update matched rows from a reference table (column -> table column).
@@ -153,5 +154,5 @@ def update_from(
     values = list(dict.fromkeys(sets.values())) or list(on)[:1]
     out = lookup(df, dim, on, values, order=order, eligible=where, **options)
     out = rewrite_where(out, F.col(HIT).isNotNull(),
-                        {c: F.col(f"{HIT}.{v}") for c, v in sets.items()}, code)
+                        {c: F.col(f"{HIT}.{v}") for c, v in sets.items()}, code, rule)
     return out.drop(HIT)

@@ -8,17 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partysieve.functions.text import append_text, is_like
+from partysieve.operators.counts import copied, marks
 
 TRACE = "rule_trace"
 
 
 def rewrite_where(
-    df: DataFrame, where: Column, sets: Mapping[str, Column], code: str | Column | None = None
+    df: DataFrame, where: Column, sets: Mapping[str, Column], code: str | Column | None = None,
+    rule: str | None = None,
 ) -> DataFrame:
     """Set columns on the rows that meet `where` and append `code` to their rule trace.
 
     All conditions and values are read from the row as it came in, and a NULL
     condition leaves the row alone. Values take the type of the column they replace.
+    In a run that counts, the row also notes the `rule`.
     """
     changes = dict(sets)
     if code is not None:
@@ -27,10 +30,10 @@ def rewrite_where(
     return df.withColumns({
         name: F.when(where, value.cast(types[name])).otherwise(F.col(name))
         for name, value in changes.items()
-    })
+    } | (marks(df, {rule: where}) if rule else {}))
 
 
-def copy_rows(df: DataFrame, where: Column, sets: Mapping[str, Column]) -> DataFrame:
+def copy_rows(df: DataFrame, where: Column, sets: Mapping[str, Column], rule: str | None = None) -> DataFrame:
     """Keep every row and add a changed copy of those that meet `where`.
 
     One pass: each row yields itself and, if selected, its copy. A union would read
@@ -38,7 +41,7 @@ def copy_rows(df: DataFrame, where: Column, sets: Mapping[str, Column]) -> DataF
     """
     kept, both = F.array(F.lit(False)), F.array(F.lit(False), F.lit(True))
     out = df.withColumn("_copy", F.explode(F.when(where, both).otherwise(kept)))
-    return rewrite_where(out, F.col("_copy"), sets).drop("_copy")
+    return rewrite_where(out, F.col("_copy"), dict(sets) | (copied(df, rule) if rule else {})).drop("_copy")
 
 
 def delete_marked(df: DataFrame, column: str, pattern: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partysieve.functions.text import append_text, choose, numeric_only, pad_to_eight
+from partysieve.operators.counts import marks
 from partysieve.operators.keyed import ROWS, attach
 from partysieve.operators.rewrite import rewrite_where
 from partysieve.pack import RulePack
@@ -23,21 +24,21 @@ def type_from_number(df: DataFrame, pack: RulePack) -> DataFrame:
     """R002: an unknown type with a number of eight digits is a national id."""
     return rewrite_where(
         df, (F.col("doc_type_eval") == pack.unknown_type) & _numeric_of_length(8),
-        {"doc_type_eval": F.lit(pack.national_type)}, "-R002")
+        {"doc_type_eval": F.lit(pack.national_type)}, "-R002", "R002")
 
 
 def pad_number(df: DataFrame, pack: RulePack) -> DataFrame:
     """R003: a national id of seven digits gets a zero in front."""
     return rewrite_where(
         df, (F.col("doc_type_eval") == pack.national_type) & _numeric_of_length(7),
-        {"doc_no_eval": pad_to_eight(F.col("doc_no_eval"))}, "-R003")
+        {"doc_no_eval": pad_to_eight(F.col("doc_no_eval"))}, "-R003", "R003")
 
 
 def type_from_legacy(df: DataFrame, pack: RulePack) -> DataFrame:
     """R004: a legacy type with a number of eight digits is a national id."""
     return rewrite_where(
         df, (F.col("doc_type_eval") == pack.legacy_type) & _numeric_of_length(8),
-        {"doc_type_eval": F.lit(pack.national_type)}, "-R004")
+        {"doc_type_eval": F.lit(pack.national_type)}, "-R004", "R004")
 
 
 def type_from_loan(df: DataFrame, pack: RulePack) -> DataFrame:
@@ -45,7 +46,7 @@ def type_from_loan(df: DataFrame, pack: RulePack) -> DataFrame:
     return rewrite_where(
         df, F.upper("product_name").isin(*pack.loan_products)
         & (F.col("doc_type_eval") == pack.unknown_type),
-        {"doc_type_eval": F.lit(pack.national_type)}, "-R020")
+        {"doc_type_eval": F.lit(pack.national_type)}, "-R020", "R020 DOCUMENTS")
 
 
 def normalise_documents(df: DataFrame, pack: RulePack) -> DataFrame:
@@ -71,13 +72,15 @@ def normalise_documents(df: DataFrame, pack: RulePack) -> DataFrame:
         "rule_trace": F.when(rule_of_row.isNotNull(),
                              append_text(F.col("rule_trace"), rule_of_row))
                        .otherwise(F.col("rule_trace")),
+        **marks(df, {"R002": rule_of_row == "-R002", "R003": rule_of_row == "-R003", "R004": rule_of_row == "-R004",
+                     "R020 DOCUMENTS": rule_of_row == "-R020"}),
     }).drop("_rule")
 
 
 def override_doc_types(df: DataFrame, pack: RulePack) -> DataFrame:
     """Documents whose type is decided by configuration. No rule code."""
     chosen = choose(F.col("doc_no_eval"), pack.doc_type_overrides)
-    return rewrite_where(df, chosen.isNotNull(), {"doc_type_eval": chosen})
+    return rewrite_where(df, chosen.isNotNull(), {"doc_type_eval": chosen}, rule="TYPE OVERRIDE")
 
 
 def has_document(pack: RulePack):
@@ -178,4 +181,6 @@ def resolve_documents(
         "rule_trace": F.when(F.col("_hit.code").isNotNull(),
                              append_text(F.col("rule_trace"), F.col("_hit.code")))
                        .otherwise(F.col("rule_trace")),
+        **marks(df, {r: F.col("_hit.code").startswith(f"-{r}") for r in CONFLICT_RULES}
+                | {"LATEST REGION": F.col("_hit.region").isNotNull()}),
     }).drop("_hit")

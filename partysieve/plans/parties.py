@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from partysieve.functions.text import all_equal, before_dash, blank_to_null, folded, is_like
+from partysieve.operators.counts import copied
 from partysieve.operators.keyed import BROADCAST_ROWS, ROWS, attach, bounded, lookup, update_from
 from partysieve.operators.rewrite import copy_rows, delete_marked, rewrite_where
 from partysieve.pack import RulePack
@@ -30,18 +31,18 @@ def reset_state(df: DataFrame) -> DataFrame:
 def copy_insured_by_name(df: DataFrame, pack: RulePack) -> DataFrame:
     """Step 2: holders of one product, by name, are also insured."""
     return _copy_insured(df, F.col("product_name") == pack.copy_by_name_product,
-                         pack.copy_by_name_note, pack)
+                         pack.copy_by_name_note, pack, "INSURED BY NAME")
 
 
 def copy_insured_by_code(df: DataFrame, pack: RulePack) -> DataFrame:
     """Step 3: the same for one product by its codes."""
-    return _copy_insured(df, all_equal(pack.copy_by_code_product), pack.copy_by_code_note, pack)
+    return _copy_insured(df, all_equal(pack.copy_by_code_product), pack.copy_by_code_note, pack, "INSURED BY CODE")
 
 
-def _copy_insured(df: DataFrame, product, note: str, pack: RulePack) -> DataFrame:
+def _copy_insured(df: DataFrame, product, note: str, pack: RulePack, rule: str) -> DataFrame:
     kept = reset_state(delete_marked(df, "note", f"%{note}%"))
     return copy_rows(kept, (F.col("party_role") == pack.holder) & product, {
-        "party_role": F.lit(pack.insured), "note": F.lit(note)})
+        "party_role": F.lit(pack.insured), "note": F.lit(note)}, rule)
 
 
 def holderless_policies(df: DataFrame, pack: RulePack) -> DataFrame:
@@ -61,7 +62,7 @@ def add_missing_holders(df: DataFrame, pack: RulePack, **options) -> DataFrame:
                     ["_product"], name="_holderless", **options)
     sets = {c: F.lit(None) for c in NOT_COPIED_TO_HOLDER if c in df.columns}
     sets |= {"party_role": F.lit(pack.holder), "rule_trace": F.lit("R001")}
-    return copy_rows(marked, F.col("_holderless").isNotNull(), sets).drop("_holderless")
+    return copy_rows(marked, F.col("_holderless").isNotNull(), sets, "R001").drop("_holderless")
 
 
 def derive_parent_policy(df: DataFrame, product: DataFrame, pack: RulePack) -> DataFrame:
@@ -72,7 +73,7 @@ def derive_parent_policy(df: DataFrame, product: DataFrame, pack: RulePack) -> D
     parent = F.expr("try_cast(_before AS DECIMAL(38,0))")
     return (
         marked.withColumn("_before", before_dash(F.col("policy_no")))
-        .transform(rewrite_where, F.col("_hit").isNotNull(), {"parent_policy_no": parent})
+        .transform(rewrite_where, F.col("_hit").isNotNull(), {"parent_policy_no": parent}, rule="PARENT POLICY")
         .drop("_before", "_hit")
     )
 
@@ -98,7 +99,7 @@ def deactivate_group_holders(df: DataFrame, pack: RulePack, **options) -> DataFr
                     {"parent_policy_no": F.col("parent_policy_no")}, ["_active"],
                     eligible=_group_holder(pack), **options)
     return rewrite_where(marked, F.col("_hit").isNotNull(), {"active": F.lit(0)},
-                         "-R0041").drop("_hit")
+                         "-R0041", "R0041").drop("_hit")
 
 
 def drop_generated_holders(df: DataFrame, pack: RulePack) -> DataFrame:
@@ -153,6 +154,7 @@ def parent_holder_rows(df: DataFrame, pack: RulePack, cut: Callable[[DataFrame,
         "rule_trace": F.lit("-R040"),
         "active": F.lit(1),
         **{c: F.lit(None).cast("string") for c in NOT_COPIED_TO_PARENT_HOLDER},
+        **copied(df, "R040"),
     }
     return least.withColumns({c: v for c, v in sets.items() if c in df.columns})
 
@@ -171,7 +173,7 @@ def match_activity(df: DataFrame, activities: DataFrame, pack: RulePack) -> Data
         "_folded", F.upper(F.nullif(F.trim("description"), F.lit("'"))))
     return update_from(
         df, codes, {"_folded": folded(F.col("activity_text"))}, {"activity_code": "code"},
-        where=F.col("source_system").isin(*pack.activity_sources))
+        where=F.col("source_system").isin(*pack.activity_sources), rule="ACTIVITY")
 
 
 def required_product(product: DataFrame, pack: RulePack, check: bool = False) -> DataFrame:
@@ -190,4 +192,4 @@ def deactivate_provisional(
                     {"product_key": F.col("product_key")}, ["product_key"],
                     eligible=F.col("party_role") == pack.insured)
     return rewrite_where(marked, F.col("_hit").isNotNull(), {"active": F.lit(0)},
-                         " - R060").drop("_hit")
+                         " - R060", "R060").drop("_hit")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partysieve.functions.text import all_equal, choose
+from partysieve.operators.counts import marks
 from partysieve.operators.keyed import ROWS, attach, update_from
 from partysieve.operators.rewrite import rewrite_where
 from partysieve.pack import RulePack
@@ -118,7 +119,8 @@ def resolve_policies(
     out = attach(df, policy_decisions(df, pack, rules), {"policy_no": F.col("policy_no")},
                  ["region", "code", "holder_region"], **options)
     holder = F.col("_hit.holder_region")
-    out = out.withColumn("_holder_region", holder)
+    # Marks first: a rewrite reads the row as it came in.
+    out = out.withColumns({"_holder_region": holder, **marks(df, {r: F.col("_hit.code") == f"-{r}" for r in POLICY_RULES})})
     out = rewrite_where(out, F.col("_hit.region").isNotNull(),
                         {"region_eval": F.col("_hit.region")}, F.col("_hit.code")).drop("_hit")
     return out if keep_holder else out.drop("_holder_region")
@@ -141,20 +143,20 @@ def region_from_holder(df: DataFrame, pack: RulePack, **options) -> DataFrame:
                  eligible=F.col("_holder_region").isNotNull(), **options)
     return rewrite_where(
         out, F.col("_hit").isNotNull(),
-        {"region_eval": F.col("_holder_region")}, "-R058").drop("_hit", "_holder_region")
+        {"region_eval": F.col("_holder_region")}, "-R058", "R058").drop("_hit", "_holder_region")
 
 
 def capital_for_product(df: DataFrame, pack: RulePack) -> DataFrame:
     """R065: rows of one product without a region take the capital."""
     return rewrite_where(
         df, all_equal(pack.capital_product) & (F.col("region_eval") == pack.no_region),
-        {"region_eval": F.lit(pack.capital_region)}, " - R065")
+        {"region_eval": F.lit(pack.capital_region)}, " - R065", "R065")
 
 
 def override_regions(df: DataFrame, pack: RulePack) -> DataFrame:
     """Policies whose region is decided by configuration. No rule code."""
     chosen = choose(F.col("policy_no"), pack.region_overrides)
-    return rewrite_where(df, chosen.isNotNull(), {"region_eval": chosen})
+    return rewrite_where(df, chosen.isNotNull(), {"region_eval": chosen}, rule="REGION OVERRIDE")
 
 
 def region_ids(df: DataFrame, region: DataFrame, pack: RulePack) -> DataFrame:
@@ -166,7 +168,7 @@ def region_ids(df: DataFrame, region: DataFrame, pack: RulePack) -> DataFrame:
 
 def mark_unknown_region_id(df: DataFrame, pack: RulePack) -> DataFrame:
     """R018: marks the rows whose region id is -1."""
-    return rewrite_where(df, F.col("region_id") == -1, {"region_id": F.lit(-1)}, "-R018")
+    return rewrite_where(df, F.col("region_id") == -1, {"region_id": F.lit(-1)}, "-R018", "R018")
 
 
 def finish_regions(df: DataFrame, region: DataFrame, pack: RulePack) -> DataFrame:

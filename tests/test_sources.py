@@ -12,6 +12,7 @@ from partysieve.operators.ids import next_ids, renumber
 from partysieve.plans import run
 from partysieve.schema import DIMENSIONS, PARTY_POLICY, WORKING_COLUMNS
 from partysieve.sources import sinks
+from partysieve.operators.counts import RULES
 from partysieve.sources.audit import AuditTrail
 from partysieve.sources.stages import StageArea, checkpoint_root
 from partysieve.sources.tables import load_tables, read_table
@@ -138,8 +139,10 @@ def test_a_failed_run_leaves_its_records(spark, tmp_path, monkeypatch):
         run.run_and_publish(extract(spark, SF), dimensions(spark, SF), PACK, stages, AuditTrail(spark, target), str(tmp_path / "p"))
     entries = [r["entry"].strip() for r in spark.read.parquet(target).orderBy("audit_id").collect()]
     assert entries[0] == "RUN - START" and entries[-1] == "RUN - FAILED: RuntimeError"
-    assert any(e.startswith("8-10.") and e.endswith("END") for e in entries) and "R002" in entries
-    assert any(e.startswith("11-14.") and "FAILED" in e for e in entries)
+    ends = [e.split(".")[0] for e in entries if e[0].isdigit() and e.endswith("END")]
+    assert ends == [str(i) for i in range(11)] and "R002" in entries and "ACTIVITY" in entries
+    assert [e.split(".")[0] for e in entries if e[0].isdigit() and "FAILED" in e] == ["11", "12", "13"]
+    assert len(list((tmp_path / "audit").glob("*.parquet"))) == 1
     assert not (tmp_path / "p").exists() and not stages.has("documents")
 
 
@@ -199,6 +202,10 @@ def test_full_run_invariants(spark, stages, tmp_path):
     assert df.columns == PARTY_POLICY.fieldNames()
     entries = [r["entry"] for r in spark.read.parquet(str(tmp_path / "audit")).orderBy("audit_id").collect()]
     assert entries[0] == "RUN - START" and entries[-1] == "RUN - END"
+    for step in run.STEPS:
+        assert entries.count(f" {step} - START") == entries.count(f" {step} - END") == 1
+    assert sorted(e.strip() for e in entries if e.startswith("   ")) == sorted(RULES)
+    assert len(list((tmp_path / "audit").glob("*"))) <= 2  # one file, and its checksum where there is one
     assert n == stages.rows["rated"] == df.count() and not stages.has("rated")
 
 
