@@ -518,7 +518,7 @@ def rule_r001(spark, sf):
 
 
 def _documents(spark, sf, *rules):
-    return documents.resolve_documents(with_documents(spark, sf), PACK, rules).select(*DOC)
+    return documents.resolve_documents(with_documents(spark, sf), PACK, rules, cut=StageArea(spark).cut).select(*DOC)
 
 
 @query
@@ -543,11 +543,11 @@ def documents_all(spark, sf):
 
 @query
 def region_latest(spark, sf):
-    return regions.latest_region(with_regions(spark, sf), PACK).select("record_id", "region_eval")
+    return regions.latest_region(with_regions(spark, sf), PACK, cut=StageArea(spark).cut).select("record_id", "region_eval")
 
 
 def _policies(spark, sf, *rules):
-    return regions.resolve_policies(with_regions(spark, sf), PACK, rules).select(*REGION)
+    return regions.resolve_policies(with_regions(spark, sf), PACK, rules, cut=StageArea(spark).cut).select(*REGION)
 
 
 @query
@@ -567,16 +567,17 @@ def rule_r057_1(spark, sf):
 
 @query
 def rule_r058(spark, sf):
-    df = regions.resolve_policies(with_regions(spark, sf), PACK, (), keep_holder=True)
-    return regions.region_from_holder(df, PACK).select(*REGION)
+    cut = StageArea(spark).cut
+    df = regions.resolve_policies(with_regions(spark, sf), PACK, (), keep_holder=True, cut=cut)
+    return regions.region_from_holder(df, PACK, cut=cut).select(*REGION)
 
 
 @query
 def regions_all(spark, sf):
     stages = StageArea(spark)
-    df = stages.cut(regions.latest_region(with_regions(spark, sf), PACK), "by-document")
-    df = stages.cut(regions.resolve_policies(df, PACK, keep_holder=True), "by-policy")
-    df = regions.region_from_holder(df, PACK)
+    df = stages.cut(regions.latest_region(with_regions(spark, sf), PACK, cut=stages.cut), "by-document")
+    df = stages.cut(regions.resolve_policies(df, PACK, keep_holder=True, cut=stages.cut), "by-policy")
+    df = regions.region_from_holder(df, PACK, cut=stages.cut)
     return regions.finish_regions(df, dimension(spark, sf, "region"), PACK).select(*REGION)
 
 
@@ -622,6 +623,28 @@ def src_load_tables(spark, sf):
     return plain(fact)
 
 
+@query
+def src_load_dimensions(spark, sf):
+    """The reference tables by other names, from paths and from a reader with options: rows and a digest of each as it was loaded."""
+    area = StageArea(spark)
+    sources, names = {"party_policy": area.new_path("fact")}, {}
+    spark.createDataFrame([], PARTY_POLICY).write.parquet(sources["party_policy"])
+    for i, (name, schema) in enumerate(DIMENSIONS.items()):
+        names[name] = {c: f"their {c}" for c in reversed(schema.fieldNames())}
+        path = area.new_path(name)
+        dimension(spark, sf, name).select(*[F.col(c).alias(t) for c, t in names[name].items()]).write.parquet(path)
+        sources[name] = path if i % 2 else {"format": "parquet", "path": path}
+    _, dims = load_tables(spark, sources, names)
+    out = None
+    for name, schema in DIMENSIONS.items():
+        texts = [F.round(F.col(f.name) * 100).cast("bigint") if f.dataType.typeName() == "double" else F.col(f.name) for f in schema]
+        line = F.concat_ws("|", *[F.coalesce(t.cast("string"), F.lit("~")) for t in texts])
+        number = F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("bigint")
+        one = getattr(dims, name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.sum(number).alias("digest"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query
 def audit_full_run(spark, sf):
     """Rows on which each rule acted in a full run, also those without a code, as its audit tells them."""

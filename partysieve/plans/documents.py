@@ -132,6 +132,22 @@ def document_groups(df: DataFrame, pack: RulePack, regions: bool = False) -> Dat
         F.sum(ROWS).alias(ROWS), *last)
 
 
+def region_groups(df: DataFrame, pack: RulePack) -> DataFrame:
+    """What `document_groups` tells of regions alone: without types there are fewer combinations and one level less."""
+    region = F.col("region_eval")
+    rows = (
+        df.where(has_document(pack)).groupBy("doc_no_eval", "start_date", "region_eval")
+        .agg(F.count(F.lit(1)).alias(ROWS)).repartition("doc_no_eval")
+    )
+    by_date = rows.groupBy("doc_no_eval", "start_date").agg(
+        F.min(F.coalesce(region, F.lit("-1"))).alias("_min"), F.max(F.coalesce(region, F.lit("-1"))).alias("_max"),
+        F.min(F.when(region != pack.no_region, region)).alias("_region"), F.sum(ROWS).alias(ROWS))
+    placed_date = F.when(F.col("_region").isNotNull(), F.col("start_date"))
+    return by_date.groupBy("doc_no_eval").agg(
+        F.min("_min").alias("region_min"), F.max("_max").alias("region_max"),
+        F.max_by("_region", placed_date).alias("latest_region"), F.sum(ROWS).alias(ROWS))
+
+
 def document_decisions(
     df: DataFrame, pack: RulePack, rules: Sequence[str] = CONFLICT_RULES, regions: bool = False
 ) -> DataFrame:
@@ -141,6 +157,13 @@ def document_decisions(
     single type, on which the later ones do not act. So one decision per document is the
     same as the three updates in a row.
     """
+    moved = F.lit(None).cast("string")
+    if regions:
+        moved = F.when(F.col("region_min") != F.col("region_max"), F.col("latest_region"))
+    if not rules:
+        out = region_groups(df, pack).select("doc_no_eval", F.lit(None).cast("string").alias("doc_type"),
+                                             F.lit(None).cast("string").alias("code"), moved.alias("region"), ROWS)
+        return out.where(F.col("region").isNotNull())
     several = F.col("type_min") != F.col("type_max")
     one_known = F.col("has_unknown") & (F.col("known_min") == F.col("known_max"))
     cases = {
@@ -155,9 +178,6 @@ def document_decisions(
     for rule in reversed([r for r in CONFLICT_RULES if r in rules]):
         cond, value, text = cases[rule]
         decided, code = F.when(cond, value).otherwise(decided), F.when(cond, text).otherwise(code)
-    moved = F.lit(None).cast("string")
-    if regions:
-        moved = F.when(F.col("region_min") != F.col("region_max"), F.col("latest_region"))
     out = document_groups(df, pack, regions).select(
         "doc_no_eval", decided.alias("doc_type"), code.alias("code"), moved.alias("region"), ROWS)
     return out.where(F.col("doc_type").isNotNull() | F.col("region").isNotNull())

@@ -30,9 +30,9 @@ def normalise_region(df: DataFrame, pack: RulePack) -> DataFrame:
         .otherwise(region))
 
 
-def latest_region(df: DataFrame, pack: RulePack) -> DataFrame:
+def latest_region(df: DataFrame, pack: RulePack, **options) -> DataFrame:
     """A document with several regions takes the one at its latest date. No rule code."""
-    return resolve_documents(df, pack, rules=(), regions=True)
+    return resolve_documents(df, pack, rules=(), regions=True, **options)
 
 
 def _known(pack: RulePack) -> Column:
@@ -71,9 +71,9 @@ def policy_groups(df: DataFrame, pack: RulePack) -> DataFrame:
 
 
 def policy_decisions(
-    df: DataFrame, pack: RulePack, rules: Sequence[str] = POLICY_RULES
+    df: DataFrame, pack: RulePack, rules: Sequence[str] = POLICY_RULES, keep_holder: bool = True
 ) -> DataFrame:
-    """The decided region and rule code per policy, and the region its holders then have.
+    """The decided region and rule code per policy and, with `keep_holder`, the region its holders then have.
 
     Each rule leaves a policy with a single region, on which the later ones do not act,
     so one decision per policy is the same as the three updates in a row.
@@ -104,7 +104,8 @@ def policy_decisions(
         ROWS)
     holder = F.when(F.col("region").isNotNull() & F.col("has_holder"), F.col("region")).when(
         F.col("region").isNull(), F.col("holder_region"))
-    return decided.select("policy_no", "region", "code", holder.alias("holder_region"), ROWS).where(
+    kept = holder if keep_holder else F.lit(None).cast("string")
+    return decided.select("policy_no", "region", "code", kept.alias("holder_region"), ROWS).where(
         F.col("region").isNotNull() | F.col("holder_region").isNotNull())
 
 
@@ -116,7 +117,7 @@ def resolve_policies(
 
     With `keep_holder` the region of the policy's holders stays as `_holder_region`.
     """
-    out = attach(df, policy_decisions(df, pack, rules), {"policy_no": F.col("policy_no")},
+    out = attach(df, policy_decisions(df, pack, rules, keep_holder), {"policy_no": F.col("policy_no")},
                  ["region", "code", "holder_region"], **options)
     holder = F.col("_hit.holder_region")
     # Marks first: a rewrite reads the row as it came in.
