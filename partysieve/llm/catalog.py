@@ -129,11 +129,30 @@ aims AS (
 stream AS (
   SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY epoch, md5(doc_id || ':' || epoch), doc_id
                                                ROWS UNBOUNDED PRECEDING) - size AS place
-  FROM docs, (VALUES (0), (1)) AS e(epoch))
-SELECT doc_id, size, source_size, target,
-       CAST(sum(greatest(0, least(place + size, floor(target)) - place)) AS BIGINT) AS taken
-FROM stream JOIN aims ON stream.source IS NOT DISTINCT FROM aims.source
-GROUP BY doc_id, size, source_size, target
+  FROM docs, (VALUES (0), (1)) AS e(epoch)),
+blocks AS (
+  SELECT source, CAST(floor(target) AS BIGINT) AS quota, (CAST(floor(target) AS BIGINT) + 1023) // 1024 AS n,
+         CAST(sum((CAST(floor(target) AS BIGINT) + 1023) // 1024) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) AS BIGINT) AS high
+  FROM aims),
+points AS (
+  SELECT t, total, least(total - 1, CAST(floor(CAST(CAST(t AS DECIMAL(19, 0)) * CAST('0.618033988749894848' AS DECIMAL(18, 18)) % 1 AS DOUBLE) * total) AS BIGINT)) AS place
+  FROM (SELECT CAST(sum(n) AS BIGINT) AS total FROM blocks), unnest(range(total)) AS u(t)),
+drawn AS (
+  SELECT source, n, t, row_number() OVER (PARTITION BY source ORDER BY t) - 1 AS rank FROM points JOIN blocks ON place >= high - n AND place < high),
+slots AS (
+  SELECT source, t AS slot, rank FROM drawn WHERE rank < n
+  UNION ALL
+  SELECT source, (SELECT sum(n) FROM blocks) + high - n + r AS slot, r AS rank FROM blocks, unnest(range(n)) AS u(r)
+  WHERE r >= (SELECT count(*) FROM drawn WHERE drawn.source IS NOT DISTINCT FROM blocks.source)),
+cut AS (
+  SELECT doc_id, size, stream.source, place, least(place + size, quota) AS till FROM stream JOIN blocks ON stream.source IS NOT DISTINCT FROM blocks.source),
+taken AS (SELECT doc_id, size, source, CAST(sum(greatest(0, till - place)) AS BIGINT) AS taken FROM cut GROUP BY ALL),
+firsts AS (
+  SELECT doc_id, CAST(min(slot) AS BIGINT) AS first_slot
+  FROM cut JOIN slots ON cut.source IS NOT DISTINCT FROM slots.source AND place < till AND rank BETWEEN place // 1024 AND (till - 1) // 1024
+  GROUP BY doc_id)
+SELECT doc_id, size, source_size, target, taken, first_slot
+FROM taken JOIN aims ON taken.source IS NOT DISTINCT FROM aims.source LEFT JOIN firsts USING (doc_id)
 """
 
 
@@ -226,7 +245,8 @@ m3 AS (SELECT 1 / least(greatest(coalesce(sum(n * (bad / n - mean) ** 2 / (mean
        FROM s3 WHERE n > 0 AND mean > 0 AND mean < 1),
 judged AS (SELECT host, (mean * m + bad) / (n + m) AS q, q * (1 - q) / (n + m + 1) + (m / (n + m)) ** 2 * variance AS v FROM s3, m3)
 SELECT page_id, host, path, rule,
-       coalesce(kind, CASE WHEN q - 1.645 * sqrt(v) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(kind, CASE WHEN q - 1.645 * sqrt(v) > 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+       CAST(round(q * 1000000) AS BIGINT) AS mean_ppm, CAST(round((q - 1.645 * sqrt(v)) * 1000000) AS BIGINT) AS bound_ppm
 FROM split JOIN ruled USING (page_id, host, path) JOIN judged USING (host)
 """
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from partysieve.sources.stages import StageArea
 
-#: Second-level labels under which two-letter suffixes are registered (example.co.uk).
+#: Second-level labels under which two-letter suffixes are registered (example.co.uk), unless a caller has a list of its own.
 SECOND_LEVEL = ("ac", "co", "com", "edu", "gob", "gov", "net", "org")
 #: A host is blocked if its bad share exceeds LEVEL at this many standard deviations.
 LEVEL, DEVIATIONS = 0.5, 1.645
@@ -38,13 +38,13 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tup
     return rule, verdict
 
 
-def domain_of(host: Column) -> tuple[Column, Column]:
+def domain_of(host: Column, second_level: Sequence[str] = SECOND_LEVEL) -> tuple[Column, Column]:
     """Registered domain and suffix of a host, without its port; a numeric address is its own domain."""
     name = F.regexp_replace(host, r":[0-9]*$", "")
     labels = F.split(name, r"\.")
     n = F.size(labels)
     last, second = F.element_at(labels, -1), F.when(n > 1, F.element_at(labels, -2))
-    two = F.coalesce((F.length(last) == 2) & second.isin(*SECOND_LEVEL) & (n > 2), F.lit(False))
+    two = F.coalesce((F.length(last) == 2) & second.isin(*second_level) & (n > 2), F.lit(False))
     numeric = name.rlike(r"^[0-9.]+$")
 
     def tail(k: int) -> Column:
@@ -63,7 +63,7 @@ def concentration(groups: DataFrame) -> float:
     return 1 / min(max(share, 0.02), 0.9) - 1
 
 
-def reputation(outcomes: DataFrame, stages: StageArea | None = None) -> DataFrame:
+def reputation(outcomes: DataFrame, stages: StageArea | None = None, second_level: Sequence[str] = SECOND_LEVEL) -> DataFrame:
     """Per host: host, n, bad, mean, bound, from labelled outcomes.
 
     outcomes: host, and bad (1, 0 or null: not labelled); every host of them gets a row. The bad share of
@@ -73,11 +73,12 @@ def reputation(outcomes: DataFrame, stages: StageArea | None = None) -> DataFram
     posterior mean less DEVIATIONS standard deviations, which are wide where a level has few
     labels, as what is uncertain about a suffix or domain is passed on. Without any label the mean is 1/2.
 
-    A hot host is summed on the map side. Besides three strengths and the overall share, nothing reaches the driver.
+    A hot host is summed on the map side. What is joined back to hosts or their rows is written first, so that Spark can split
+    a domain with very many hosts, or a host with very many pages. Besides three strengths and the overall share, nothing reaches the driver.
     """
     stages = stages or StageArea(outcomes.sparkSession)
     hosts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    domain, suffix = domain_of(F.col("host"))
+    domain, suffix = domain_of(F.col("host"), second_level)
     hosts = stages.cut(hosts.select("host", domain.alias("domain"), suffix.alias("suffix"), "n", "bad"), "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -86,10 +87,11 @@ def reputation(outcomes: DataFrame, stages: StageArea | None = None) -> DataFram
     suffixes = suffixes.withColumns({"mean": F.lit(share), "variance": F.lit(share * (1 - share) / (n + 2))})
     above = suffixes.select("suffix", *_posterior(suffixes))
     domains = domains.join(above, "suffix")
-    above = domains.select("domain", *_posterior(domains))
+    above = stages.cut(domains.select("domain", *_posterior(domains)), "domains")
     hosts = hosts.join(above, "domain")
-    return (hosts.select("host", "n", "bad", *_posterior(hosts))
-            .select("host", "n", "bad", "mean", (F.col("mean") - DEVIATIONS * F.sqrt("variance")).alias("bound")))
+    judged = hosts.select("host", "n", "bad", *_posterior(hosts))
+    bound = F.col("mean") - DEVIATIONS * F.sqrt("variance")
+    return stages.cut(judged.select("host", "n", "bad", "mean", bound.alias("bound")), "reputation")
 
 
 def _posterior(groups: DataFrame) -> tuple[Column, Column]:
@@ -102,8 +104,8 @@ def _posterior(groups: DataFrame) -> tuple[Column, Column]:
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], page_id: str = "page_id", url: str = "url",
-          labelled: DataFrame | None = None, stages: StageArea | None = None) -> DataFrame:
-    """Per page page_id, host, path, rule, verdict.
+          labelled: DataFrame | None = None, stages: StageArea | None = None, second_level: Sequence[str] = SECOND_LEVEL) -> DataFrame:
+    """Per page page_id, host, path, rule, verdict, and what is known of its host: mean_ppm, bound_ppm (millionths).
 
     The longest fitting rule decides. Other pages are allowed or blocked by their host's reputation,
     learned from the page outcomes in `labelled` (url, and bad: 1, 0 or null): blocked if the bound
@@ -120,8 +122,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], page_id: str = "pa
     outcomes = rows.select("host", F.lit(None).cast("long").alias("bad"))
     if labelled is not None:
         outcomes = outcomes.unionByName(labelled.select(parts(F.col("url"))[0].alias("host"), F.col("bad").cast("long").alias("bad")))
-    hosts = reputation(outcomes, stages)
-    hosts = hosts.select("host", F.when(F.col("bound") > LEVEL, "block").otherwise("allow").alias("learned"))
-    ruled = rows.where("rule IS NOT NULL").select("page_id", "host", "path", "rule", "verdict")
-    rest = rows.where("rule IS NULL").select("page_id", "host", "path", "rule").join(hosts, "host")
-    return ruled.unionByName(rest.select("page_id", "host", "path", "rule", F.col("learned").alias("verdict")))
+    hosts = reputation(outcomes, stages, second_level)
+    learned = F.when(F.col("bound") > LEVEL, "block").otherwise("allow")
+    return rows.join(hosts.select("host", "mean", "bound"), "host").select(
+        "page_id", "host", "path", "rule", F.coalesce("verdict", learned).alias("verdict"),
+        F.round(F.col("mean") * 1_000_000).cast("long").alias("mean_ppm"), F.round(F.col("bound") * 1_000_000).cast("long").alias("bound_ppm"))

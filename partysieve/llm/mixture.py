@@ -150,11 +150,11 @@ def mixture(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", so
 
 
 def taken(documents: DataFrame, **options) -> DataFrame:
-    """Per document doc_id, size, source_size, target, taken."""
+    """Per document doc_id, size, source_size, target, taken, first_slot: where the schedule first takes words of it, null if nowhere."""
     mixed = mixture(documents, **options)
-    words = mixed.pieces.groupBy("row").agg(F.sum("words").alias("taken"))
+    words = mixed.pieces.groupBy("row").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
     return (mixed.rows.join(mixed.sources, "source_id").join(words, "row", "left")
-            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")))
+            .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "first_slot"))
 
 
 def repeated(documents: DataFrame, **options) -> DataFrame:
