@@ -8,15 +8,17 @@ minimisers, at the same place in them. A window can therefore only repeat where
 same k words at its minimiser (the same *anchor*) exists, and equal blocks repeat in all windows.
 
 The two operators find out by their own methods which blocks repeat in whole and which may
-repeat in part. From there on the way is the same: documents concerned are read again once, the
-windows of blocks that differ around a shared anchor are compared one by one, and repeated words
+repeat in part, and extend the latter from the shared anchor, word by word to both sides, each in its own order of
+comparison (`extended`). An anchor with more than GROUP different blocks (the ends of a passage that very many
+documents have, each in words of its own) is not extended pair by pair: all windows of its blocks are compared by
+hash instead, which gives the same words. Documents concerned are read again once for both, and repeated words
 are cut out. All rows are narrow but for two joins of texts.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,11 @@ from partysieve.sources.stages import StageArea
 #: words then has 35 places for its minimiser.
 K = 16
 
+#: Different blocks of one anchor that are extended against each other.
+GROUP = 64
+#: Rows that are extended at once.
+ROWS = 20_000
+
 #: Block rows have `start` set, document rows have `sha` set. `copy` tells rows with one
 #: document id and different texts apart.
 BLOCKS = ("doc_id long, copy long, start int, windows int, anchor long, right long, left long, "
@@ -157,6 +164,88 @@ def windows_of(texts: list[bytes], asked: list[list[tuple[int, int]]], length: i
     return text[which], place, signed(one.of(at, length)), signed(two.of(at, length))
 
 
+def surroundings(texts: list[bytes], asked: list[list[tuple[int, int, int]]], length: int):
+    """Of each block asked for (start, windows, anchor): its text, the anchor's place there, and the words around it.
+
+    The words are hashes: `length` from the anchor's first on, and length - K before it, the nearest first. Those
+    outside the block are zero.
+    """
+    words, bounds = hashed(texts)
+    text = np.repeat(np.arange(len(texts)), [len(x) for x in asked])
+    start, count, anchor = np.array([y for x in asked for y in x], np.int64).reshape(-1, 3).T
+    first = bounds[text] + start
+    grams = signed(Runs(words, BASES[0]).of(np.arange(max(0, len(words) - K + 1)), K))
+    at = first + (grams[first[:, None] + np.arange(length - K + 1)] == anchor[:, None]).argmax(axis=1)
+    end = first + count + length - 1
+
+    def near(steps_: np.ndarray) -> np.ndarray:
+        place = at[:, None] + steps_
+        inside = (place >= first[:, None]) & (place < end[:, None])
+        return np.where(inside, words[np.clip(place, 0, len(words) - 1)], np.uint64(0))
+
+    return text, at - bounds[text], near(np.arange(length)), near(-1 - np.arange(length - K))
+
+
+def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many words from the first on are equal, in rows of words; zero stands for none."""
+    return np.logical_and.accumulate((a == b) & (a != 0), axis=1).sum(axis=1)
+
+
+def extended(length: int, sorted_: bool):
+    """Spans of words that repeat around shared anchors, from the blocks of a partition that is sorted by anchor.
+
+    Each block is compared with the others of its anchor, up to the first different word on both sides; what is
+    `length` words or longer repeats in the later document. Blocks that are `sorted_` by the words from the anchor on are a
+    stretch of a suffix array: only neighbours are compared to the right, others have the least of the prefixes between them.
+    """
+
+    def spans(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+        anchor, docs, copies, at = (rows[c] for c in ("anchor", "doc_id", "copy", "start"))
+        right, left = (np.frombuffer(b"".join(rows[c]), np.uint64).reshape(len(anchor), -1) for c in ("after", "before"))
+        low, step, out = np.arange(len(anchor)), 0, []
+        prefix = common(right[:-1], right[1:]) if sorted_ else None
+        reach = np.full(len(anchor), length)
+        while len(low):
+            step += 1
+            low = low[low + step < len(anchor)]
+            low = low[anchor[low] == anchor[low + step]]
+            high = low + step
+            if sorted_:
+                reach[low] = np.minimum(reach[low], prefix[high - 1])
+                forward = reach[low]
+            else:
+                forward = common(right[low], right[high])
+            back = common(left[low], left[high])
+            hit = (forward + back >= length) & (docs[low] != docs[high])
+            later = np.where(docs[low] > docs[high], low, high)[hit]
+            out.append(np.stack([later, at[later] - back[hit], at[later] + forward[hit]]))
+        row, a, b = np.unique(np.concatenate([np.zeros((3, 0), np.int64), *out], axis=1), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(docs[row], pa.int64()), pa.array(copies[row], pa.int64()),
+                                           pa.array(a, pa.int32()), pa.array(b, pa.int32())], names=["doc_id", "copy", "from", "to"])
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict[str, np.ndarray]] = []
+        n = 0
+
+        def cut_off(all_: bool):
+            rows = {c: np.concatenate([x[c] for x in held]) for c in held[0]}
+            upto = n if all_ else int(np.flatnonzero(rows["anchor"] == rows["anchor"][-1])[0])  # the last group may go on
+            return {c: x[upto:] for c, x in rows.items()}, spans({c: x[:upto] for c, x in rows.items()})
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append({c: batch.column(c).to_numpy(False) for c in ("anchor", "doc_id", "copy", "start", "after", "before")})
+                n += batch.num_rows
+            if n >= ROWS:
+                rest, found = cut_off(False)
+                held, n = [rest], len(rest["anchor"])
+                yield found
+        if n:
+            yield cut_off(True)[1]
+
+    return of
+
+
 def covered(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Maximal runs of words [from, to) that overlapping or touching spans cover."""
     out: list[tuple[int, int]] = []
@@ -179,14 +268,25 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> tuple[list[bytes], int
     return kept, len(words) - len(kept), merged
 
 
-def repeated_spans(documents: DataFrame, whole: DataFrame, partly: DataFrame, stages: StageArea, length: int) -> tuple[DataFrame, DataFrame]:
+_WINDOWS = "doc_id long, copy long, start int, one long, two long, anchor long, after binary, before binary"
+_WINDOW_ROWS = pa.schema([("doc_id", pa.int64()), ("copy", pa.int64()), ("start", pa.int32()), ("one", pa.int64()), ("two", pa.int64()),
+                          ("anchor", pa.int64()), ("after", pa.binary()), ("before", pa.binary())])
+
+
+def repeated_spans(documents: DataFrame, whole: DataFrame, partly: DataFrame, stages: StageArea, length: int,
+                   order: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """The texts that may have repeats (doc_id, copy, text), and the repeated spans of words of those that do.
 
     documents: doc_id, text. whole: blocks that repeat in whole (doc_id, copy, start, windows). partly: blocks
-    whose windows must be compared one by one. Both results are written: spans has doc_id, copy, spans.
+    that may repeat in part (also anchor), one or a few of each kind. `order` are the columns by which the blocks of an anchor
+    are sorted to be extended: `after`, the words from the anchor on, makes them a suffix array. Both results are
+    written: spans has doc_id, copy, spans.
     """
-    marks = (whole.select("doc_id", "copy", F.lit(None).cast("struct<start: int, windows: int>").alias("mark"))
-             .unionByName(partly.select("doc_id", "copy", F.struct("start", "windows").alias("mark")))
+    parts = stages.cut(partly.select("doc_id", "copy", "start", "windows", "anchor"), "parts")
+    many = stages.cut(parts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > GROUP).select("anchor", F.lit(True).alias("many")), "many")
+    parts = parts.join(many, "anchor", "left").withColumn("many", F.coalesce("many", F.lit(False)))
+    marks = (whole.select("doc_id", "copy", F.lit(None).cast("struct<start: int, windows: int, anchor: bigint, many: boolean>").alias("mark"))
+             .unionByName(parts.select("doc_id", "copy", F.struct("start", "windows", "anchor", "many").alias("mark")))
              .groupBy("doc_id", "copy").agg(F.collect_set("mark").alias("marks")))
     # The one join that moves every text.
     texts = documents.withColumn("copy", copy_of(F.col("text")))
@@ -197,16 +297,31 @@ def repeated_spans(documents: DataFrame, whole: DataFrame, partly: DataFrame, st
         for batch in batches:
             ids, copies = batch.column("doc_id").to_numpy(False), batch.column("copy").to_numpy(False)
             texts = utf8(batch.column("text"))
-            asked = [[(m["start"], m["windows"]) for m in x] for x in batch.column("marks").to_pylist()]
+            marks_ = batch.column("marks").to_pylist()
+            hashed_ = [[(m["start"], m["windows"]) for m in x if m["many"]] for x in marks_]
+            grown = [[(m["start"], m["windows"], m["anchor"]) for m in x if not m["many"]] for x in marks_]
+
+            def rows(text, place, **columns):
+                columns |= dict(doc_id=pa.array(ids[a:b][text], pa.int64()), copy=pa.array(copies[a:b][text], pa.int64()),
+                                start=pa.array(place.astype(np.int32)))
+                return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(len(text), f.type)) for f in _WINDOW_ROWS], schema=_WINDOW_ROWS)
+
             for a, b in steps(texts):
-                if any(asked[a:b]):
-                    text, place, one, two = windows_of(texts[a:b], asked[a:b], length)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[a:b][text], pa.int64()), pa.array(copies[a:b][text], pa.int64()),
-                         pa.array(place.astype(np.int32)), pa.array(one), pa.array(two)],
-                        names=["doc_id", "copy", "start", "one", "two"])
-
-    windows = stages.cut(concerned.mapInArrow(compare, "doc_id long, copy long, start int, one long, two long"), "windows")
+                if any(hashed_[a:b]):
+                    text, place, one, two = windows_of(texts[a:b], hashed_[a:b], length)
+                    yield rows(text, place, one=pa.array(one), two=pa.array(two))
+                if any(grown[a:b]):
+                    text, place, after, before = surroundings(texts[a:b], grown[a:b], length)
+                    anchor = [y[2] for x in grown[a:b] for y in x]
+                    yield rows(text, place, anchor=pa.array(anchor, pa.int64()), after=pa.array([x.tobytes() for x in after], pa.binary()),
+                               before=pa.array([x.tobytes() for x in before], pa.binary()))
+
+    found = stages.cut(concerned.mapInArrow(compare, _WINDOWS), "windows")
+    windows = found.where("one IS NOT NULL").select("doc_id", "copy", "start", "one", "two")
+    by = ["anchor", *(order or ()), "doc_id", "copy", "start"]
+    groups = (found.where("anchor IS NOT NULL").select("anchor", "doc_id", "copy", "start", "after", "before")
+              .repartition("anchor").sortWithinPartitions(*by))
+    grown = groups.mapInArrow(extended(length, "after" in (order or ())), "doc_id long, copy long, from int, to int")
     # Written, so that the join reads both sides afresh and Spark can split a window that very many documents have.
     earliest = stages.cut(windows.groupBy("one", "two").agg(F.min("doc_id").alias("lead"), F.max("doc_id").alias("last"))
                           .where("lead < last").drop("last"), "earliest")
@@ -214,18 +329,19 @@ def repeated_spans(documents: DataFrame, whole: DataFrame, partly: DataFrame, st
     spans = (repeated.select("doc_id", "copy", F.col("start").alias("from"), (F.col("start") + length).alias("to"))
              .unionByName(whole.select("doc_id", "copy", F.col("start").alias("from"),
                                        (F.col("start") + F.col("windows") + (length - 1)).alias("to")))
+             .unionByName(grown)
              .groupBy("doc_id", "copy").agg(F.collect_set(F.struct("from", "to")).alias("spans")))
     return concerned.select("doc_id", "copy", "text"), stages.cut(spans, "spans")
 
 
 def cut(documents: DataFrame, found: DataFrame, whole: DataFrame, partly: DataFrame,
-        stages: StageArea, length: int) -> tuple[DataFrame, DataFrame]:
+        stages: StageArea, length: int, order: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Remove repeated words; see `repeated_spans`. found: what `blocks` gave.
 
     Returns documents without a repeat (doc_id, n_words, sha) and, for the others, doc_id, copy, text,
     and their repeated spans of words.
     """
-    concerned, spans = repeated_spans(documents, whole, partly, stages, length)
+    concerned, spans = repeated_spans(documents, whole, partly, stages, length, order)
     hit = concerned.join(spans, ["doc_id", "copy"])
     rest = found.where("sha IS NOT NULL").join(spans.select("doc_id", "copy"), ["doc_id", "copy"], "left_anti")
     return rest.select("doc_id", "n_words", "sha"), hit.select("doc_id", "copy", "text", "spans")

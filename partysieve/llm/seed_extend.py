@@ -1,4 +1,4 @@
-"""Substring dedup by seeds: join documents on winnowed anchors, compare blocks, keep maximal repeats."""
+"""Substring dedup by seeds: join documents on winnowed anchors, extend matches to both sides, keep maximal repeats."""
 
 from __future__ import annotations
 
@@ -14,11 +14,11 @@ def split(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     """Repeats of at least `min_words` words that also start in a document with a smaller id.
 
     Seeds: every window's winnowed anchor (`passages`), joined over all documents; anchors of one
-    document only end there, which are nearly all. From there nothing is extended word by word: where the
+    document only end there, which are nearly all. Where the
     hashes of both sides of the block equal those of a smaller document, the
-    block repeats in whole and touches the next one; where a side differs, all windows
-    of the block are compared by hash (`passages.cut`). Touching matches make the maximal repeats, none of
-    them shorter than the threshold. The result is exact: each word is removed that lies in a
+    block repeats in whole and touches the next one. Where a side differs, the match is extended from the anchor, word by word to the left and to the
+    right, up to the first difference (`passages.extended`; an anchor with very many different surroundings goes by the hashes of all
+    its windows). Touching matches make the maximal repeats, none of them shorter than the threshold. The result is exact: each word is removed that lies in a
     window which also starts in a document with a smaller id.
 
     No pairs are formed: a group of copies is compared with its least document, by aggregates

@@ -1,4 +1,4 @@
-"""Substring dedup by a sparse suffix array: sort suffixes at minimisers, compare neighbours, windows where they differ."""
+"""Substring dedup by a sparse suffix array: sort suffixes at minimisers, compare neighbours, extend matches to both sides."""
 
 from __future__ import annotations
 
@@ -23,14 +23,16 @@ def split(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     """Remove repeats of at least `min_words` words of which a document with a smaller id has one too.
 
     Of all suffixes only those at content-selected minimisers are kept (about one in eighteen
-    words); any repeat of the least length has at least one. They are sorted by hashes: of the
-    words at the minimiser first, of the block's rest to the right, then to the left, then by the
-    document. Equal content is adjacent; the order has no other meaning. Range partitions with the document in their key also split a suffix
+    words); any repeat of the least length has at least one. They are sorted twice. First by hashes: of the
+    words at the minimiser, of the block's rest to the right, then to the left, then by the
+    document, so that equal content is adjacent. Range partitions with the document in their key also split a suffix
     that a third of all documents have. Neighbours in this order are compared: those equal to
     the right and to the left repeat in whole, and the first of them, with the least
-    document, stays. Neighbours that share the minimiser's words but differ on a side are
-    not extended from there: `passages.cut` compares all their windows by hash. The first and the last suffixes of a partition may go on
-    in another one: a few rows of each partition's ends are joined to decide on them.
+    document, stays. The first and the last suffixes of a partition may go on
+    in another one: a few rows of each partition's ends are joined to decide on them. What is left, one suffix of each kind
+    that shares its minimiser's words with others and differs on a side, is sorted by content, the words one after the other: neighbours' common
+    prefixes give the match to the right, words before the minimiser are compared to extend it to the left (`passages.extended`; a minimiser with
+    very many kinds goes by the hashes of all its windows).
 
     Results and the cases of nulls, repeated rows and clashing names are those of
     `seed_extend.split`; the way there is another. Returns documents without a repeat (doc_id,
@@ -39,7 +41,7 @@ def split(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     documents = passages.narrowed(documents, doc_id, text)
     stages = stages or StageArea(documents.sparkSession)
     found, whole, partly = _decided(documents, min_words, stages)
-    return passages.cut(documents, found, whole, partly, stages, min_words)
+    return passages.cut(documents, found, whole, partly, stages, min_words, order=["after"])
 
 
 def repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 50,
@@ -48,7 +50,7 @@ def repeats(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
     documents = passages.narrowed(documents, doc_id, text)
     stages = stages or StageArea(documents.sparkSession)
     _, whole, partly = _decided(documents, min_words, stages)
-    return passages.repeated_spans(documents, whole, partly, stages, min_words)[1]
+    return passages.repeated_spans(documents, whole, partly, stages, min_words, order=["after"])[1]
 
 
 def _decided(documents: DataFrame, min_words: int, stages: StageArea) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -66,7 +68,7 @@ def _decided(documents: DataFrame, min_words: int, stages: StageArea) -> tuple[D
              .select("anchor", ((F.col("one") != F.col("other")) & (F.col("low") < F.col("high"))).alias("fork")))
     opened = (kinds.where("kind = 'open'").join(leads, passages.SAME, "left").join(forks, "anchor")
               .withColumn("kind", F.when(F.col("doc_id") > F.col("lead"), "whole").when(F.col("fork"), "part")))
-    columns = ["doc_id", "copy", "start", "windows", "kind"]
+    columns = ["doc_id", "copy", "start", "windows", "anchor", "kind"]
     decided = kinds.where("kind IN ('whole', 'part')").select(*columns).unionByName(opened.select(*columns))
     return found, decided.where("kind = 'whole'"), decided.where("kind = 'part'")
 

@@ -6,7 +6,7 @@ import random
 import pytest
 from odd import DOCUMENTS, documents, rows, words
 
-from partysieve.llm import seed_extend, suffix_dedup
+from partysieve.llm import passages, seed_extend, suffix_dedup
 
 OPERATORS = [suffix_dedup, seed_extend]
 
@@ -42,9 +42,11 @@ def test_empty(spark, operator):
 
 
 @pytest.mark.parametrize("operator", OPERATORS)
-@pytest.mark.parametrize("seed", [1, 2])
-def test_random_overlaps(spark, operator, seed):
-    """Passages that overlap, repeat within a document, have edits, and few different words."""
+@pytest.mark.parametrize("seed, group", [(1, 64), (2, 64), (1, 3), (2, 0), (3, 10_000)])
+def test_random_overlaps(spark, monkeypatch, operator, seed, group):
+    """Passages that overlap, repeat within a document, have edits, and few different words; extended, compared by hash, or both."""
+    monkeypatch.setattr(passages, "GROUP", group)
+    monkeypatch.setattr(passages, "ROWS", 50)
     draw = random.Random(seed)
     pool = [f"w{i}" for i in range(draw.choice([3, 400]))]
     base = [[draw.choice(pool) for _ in range(draw.randint(30, 160))] for _ in range(6)]
@@ -85,3 +87,32 @@ def test_other_lengths(spark):
         assert rows(seed_extend.dedup(frame, min_words=length)) == brute(docs, length)
     with pytest.raises(ValueError):
         seed_extend.dedup(frame, min_words=16)
+
+
+@pytest.mark.parametrize("sorted_", [False, True])
+def test_extension(sorted_):
+    """Matches around an anchor, word by word, against plain comparison."""
+    import numpy as np
+    import pyarrow as pa
+
+    draw = random.Random(3)
+    rows_ = []
+    for anchor in range(8):
+        for doc in range(draw.randint(1, 9)):
+            right = [7] * 16 + [1 + (draw.random() < 0.04) for _ in range(34)]
+            left = [3 + (draw.random() < 0.04) for _ in range(34)]
+            keep = draw.choice([50, 40])
+            rows_.append((anchor, doc % 5, 0, 100 + doc, right[:keep] + [0] * (50 - keep), left))
+    want = set()
+    for a in rows_:
+        for b in rows_:
+            if a[0] == b[0] and a[1] < b[1]:
+                r = next((i for i in range(50) if a[4][i] != b[4][i] or not a[4][i]), 50)
+                back = next((i for i in range(34) if a[5][i] != b[5][i]), 34)
+                if r + back >= 50:
+                    want.add((b[1], 0, b[3] - back, b[3] + r))
+    packed = [(*r[:4], *(np.array(x, np.uint64).tobytes() for x in r[4:])) for r in rows_]
+    packed.sort(key=lambda r: (r[0], r[4]) if sorted_ else r[:2])
+    table = pa.Table.from_arrays([pa.array(c) for c in zip(*packed)], names=["anchor", "doc_id", "copy", "start", "after", "before"])
+    got = pa.Table.from_batches(list(passages.extended(50, sorted_)(iter(table.to_batches(max_chunksize=4)))))
+    assert set(zip(*(c.to_pylist() for c in got.columns))) == want and want
