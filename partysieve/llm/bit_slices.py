@@ -24,7 +24,7 @@ WIDTH, CELLS = 1024, 1 << 23
 #: Entries tell these numbers of occurrences apart: 1, 2, 3, 4, 6, 8, 12, 16, 24, ...
 LEVELS = np.sort([n << i for i in range(50) for n in (1, 3)])
 #: Terms of a task's dictionary before it is handed on.
-DICTIONARY = 300_000
+DICTIONARY = 100_000
 #: Terms of the queries of one round; they are sent to every task.
 QUERY_TERMS = 200_000
 #: Rows and query numbers of candidates that are broadcast, under 10 MB; beyond that they are joined by shuffle.

@@ -20,8 +20,8 @@ from xxhash import xxh64_intdigest
 
 #: Bytes of text that one numpy step takes together; a longer text is a step of its own.
 STEP_BYTES = 4_000_000
-#: Rows of an Arrow batch between the JVM and a Python worker; bounds both sides' memory.
-BATCH_ROWS = 500
+#: Rows and bytes of an Arrow batch between the JVM and a Python worker; they bound both sides' memory.
+BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
 
 
 #: The bytes that are white space between words.
@@ -34,10 +34,11 @@ _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 def small_batches(spark: SparkSession) -> None:
     """Ready a session for Python tasks.
 
-    Texts may be long, so fewer rows go at a time than by default. The package's code is sent to
+    Texts may be long, so fewer rows and bytes go at a time than by default. The package's code is sent to
     executors by Spark, once per application; they need not have it installed.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if spark.sparkContext.applicationId not in _shipped:
         package = Path(__file__).resolve().parents[1]
         folder = tempfile.TemporaryDirectory(prefix="partysieve-code-", ignore_cleanup_errors=True)
