@@ -38,10 +38,11 @@ class Direction:
         self.b = np.zeros(4 * HIDDEN, np.float32)
         self.b[HIDDEN:2 * HIDDEN] = 1  # remember at first
 
-    def forward(self, x: np.ndarray, mask: np.ndarray, keep: list | None = None) -> np.ndarray:
+    def forward(self, x: np.ndarray, mask: np.ndarray, keep: list | None = None, carried: list | None = None) -> np.ndarray:
+        """The states after each block. `carried` is what a stretch before has left, and is replaced for the next."""
         t, n, _ = x.shape
         gates = (x.reshape(t * n, WIDTH) @ self.w).reshape(t, n, -1) + self.b
-        h = c = np.zeros((n, HIDDEN), np.float32)
+        h, c = carried or [np.zeros((n, HIDDEN), np.float32)] * 2
         out = np.empty((t, n, HIDDEN), np.float32)
         for k in range(t):
             a = gates[k] + h @ self.u
@@ -56,6 +57,8 @@ class Direction:
             c = np.where(m, new, c)
             h = np.where(m, o * tanh, h)
             out[k] = h
+        if carried is not None:
+            carried[:] = [h, c]
         return out
 
     def backward(self, x: np.ndarray, keep: list, d_out: np.ndarray) -> list[np.ndarray]:
@@ -127,6 +130,39 @@ class Labeller:
                     v += 0.001 * (g * g - v)
                     p -= now * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
 
+    def label_long(self, page: list[Block], stretch: int) -> np.ndarray:
+        """Whether each block of one page is main text; only a stretch of it is features at a time, both ways."""
+        n = len(page)
+        score = np.zeros(n, np.float32) + self.c
+        bounds = [(a, min(a + stretch, n)) for a in range(0, n, stretch)]
+        for way, order, v in ((self.there, bounds, self.v[:HIDDEN]), (self.back, bounds[::-1], self.v[HIDDEN:2 * HIDDEN])):
+            carried: list = []
+            for a, b in order:
+                x = features([page[a:b]], a, n)[0]
+                if way is self.there:
+                    score[a:b] += x @ self.v[2 * HIDDEN:]
+                step = 1 if way is self.there else -1
+                score[a:b] += way.forward(x[::step, None], np.ones((b - a, 1), bool), None, carried)[::step, 0] @ v
+        return score > 0
+
+    def label_pages(self, pages: list[list[Block]], cells: int | None = None) -> list[np.ndarray]:
+        """The labels of all blocks; the features of about `cells` blocks are there at a time, however long a page is."""
+        cells = cells or CELLS
+        out: list = [np.zeros(0, bool)] * len(pages)
+        some: list[int] = []
+        for i, page in enumerate(pages):
+            if len(page) > cells:
+                out[i] = self.label_long(page, cells)
+                continue
+            if sum(len(pages[j]) for j in some) + len(page) > cells:
+                for j, y in zip(some, self.label(features([pages[j] for j in some]))):
+                    out[j] = y
+                some = []
+            some.append(i)
+        for j, y in zip(some, self.label(features([pages[j] for j in some]))):
+            out[j] = y
+        return out
+
     def label(self, pages: list[np.ndarray]) -> list[np.ndarray]:
         """For each page whether its blocks are main text; pages of similar length go together."""
         out: list = [np.zeros(0, bool)] * len(pages)
@@ -313,8 +349,7 @@ def extract(pages: DataFrame, labeller: Labeller, page_id: str = "page_id", url:
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parsed = [blocks(x or "") for x in batch.column("html").to_pylist()]
-            labels = labeller.label(features(parsed))
-            texts = [main_text(p, y) for p, y in zip(parsed, labels)]
+            texts = [main_text(p, y) for p, y in zip(parsed, labeller.label_pages(parsed))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])

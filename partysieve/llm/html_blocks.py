@@ -58,7 +58,7 @@ def blocks(source: str) -> list[Block]:
 
     def flush() -> None:
         nonlocal linked, total
-        text = " ".join(html.unescape("".join(parts)).split())
+        text = " ".join("".join(parts).split())
         if text:
             out.append(Block(text, tuple(t for t, _ in stack), linked / max(1, total), tuple(n for _, ns in stack for n in ns)))
         parts.clear()
@@ -76,7 +76,7 @@ def blocks(source: str) -> list[Block]:
         at = found.end()
         text = found.group(5)
         if text is not None:
-            parts.append(text)
+            parts.append(html.unescape(text))  # each run by itself: markup ends a reference
             total += len(text)
             linked += len(text) * in_link
             continue
@@ -124,8 +124,11 @@ def _place(path: tuple[str, ...], names: tuple[str, ...]) -> np.ndarray:
     return np.clip(out, -3, 3)
 
 
-def features(pages: list[list[Block]]) -> list[np.ndarray]:
-    """Per page one row per block: its tag path and names, hashed words, a few numbers."""
+def features(pages: list[list[Block]], start: int = 0, of: int | None = None) -> list[np.ndarray]:
+    """Per page one row per block: its tag path and names, hashed words, a few numbers.
+
+    A stretch of a page is given with the place of its first block and the number of blocks `of` the page.
+    """
     flat = [b for page in pages for b in page]
     if not flat:
         return [np.zeros((0, WIDTH), np.float32) for _ in pages]
@@ -137,7 +140,7 @@ def features(pages: list[list[Block]]) -> list[np.ndarray]:
     counts = np.bincount(at, minlength=len(flat) * WORDS).reshape(-1, WORDS)
     out[:, PATH:PATH + WORDS] = counts / np.sqrt((counts * counts).sum(axis=1, keepdims=True) + 1)
     sizes = np.array([len(p) for p in pages])
-    place = (np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)) / np.repeat(sizes, sizes)
+    place = (start + np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)) / (np.repeat(sizes, sizes) if of is None else of)
     out[:, PATH + WORDS:] = np.stack([
         np.log1p([len(b.text) for b in flat]) / 6, np.log1p(n) / 4, [b.link_share for b in flat],
         np.array([len(b.path) for b in flat]) / 8, place, 1 - place, [b.text[-1:] in ".!?" for b in flat], np.ones(len(flat))], axis=1)

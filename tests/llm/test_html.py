@@ -110,3 +110,20 @@ def test_odd_pages(spark, labeller):
     long = [r for r in got if r["page_id"] == 3][0]
     assert long["n_chars"] == len(long["text"]) == 3000 * 14 + 2999 * 2
     assert b.extract(frame.where("false"), labeller).collect() == []
+
+
+def test_references_end_at_markup():
+    assert [b.text for b in blocks("<p>a &<b>amp;</b> b &amp; &lt<i>;</i> c&nbsp;d</p>")] == ["a &amp; b & <; c d"]
+
+
+def test_long_pages_are_labelled_in_stretches():
+    """However a page is cut into stretches, each block sees the whole of it."""
+    labeller = b.fitted([])
+    page = blocks("<body><nav><li>Home</li></nav><article>" + "<p>A sentence of the text, number one.</p>" * 300
+                  + "</article><footer><p>All rights reserved.</p></footer></body>")
+    want = labeller.label_pages([page, page[:5], [], page])
+    for cells in (7, 100, 250):
+        got = labeller.label_pages([page, page[:5], [], page], cells)
+        assert [x.tolist() for x in got] == [x.tolist() for x in want]
+    many = page[1:2] * 300_000
+    assert len(labeller.label_pages([many])[0]) == 300_000
