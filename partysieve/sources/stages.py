@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 _SETTING = "spark.checkpoint.dir"
+#: Rows of a file at least, where it is known how many there will be.
+LEAST_ROWS = 10_000
 _local_root: tempfile.TemporaryDirectory | None = None  # removed when the process ends
 
 
@@ -61,11 +63,14 @@ class StageArea:
         self._paths[name] = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
         return self._paths[name]
 
-    def cut(self, df: DataFrame, name: str, counts: Mapping[str, Column] | None = None) -> DataFrame:
+    def cut(self, df: DataFrame, name: str, counts: Mapping[str, Column] | None = None, rows: int | None = None) -> DataFrame:
         """Write the frame, note its row count, and return a frame that reads it.
 
-        `counts` are conditions whose rows are counted in the same pass, into `counted`.
+        `counts` are conditions whose rows are counted in the same pass, into `counted`. `rows` is about how many there will be:
+        few rows in very many partitions then go to fewer tasks and files, of LEAST_ROWS rows each.
         """
+        if rows is not None:
+            df = df.coalesce(max(1, rows // LEAST_ROWS))
         path = self.new_path(name)
         seen = Observation()
         more = [F.count_if(c).alias(k) for k, c in (counts or {}).items()]
