@@ -25,6 +25,8 @@ BITS = 4
 #: An estimate has a standard error of about 0.035 at 0.85. A pair this much below the threshold,
 #: over seven errors, is not worth its full sets.
 SLACK = 0.27
+#: A row with its full set weighs as much as so many narrow rows.
+WIDE = 10
 #: Documents of a tile; two tiles are compared in one task.
 TILE = 256
 
@@ -219,20 +221,22 @@ def resolve(documents: DataFrame, signed_: DataFrame, percent: int, stages: Stag
     """
     found = stages.cut(signed_, "signed")
     full = found.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = stages.cut(full.groupBy("one", "two").agg(F.min("doc_id").alias("lead")), "classes")
+    classes = stages.cut(full.groupBy("one", "two").agg(F.min("doc_id").alias("lead")), "classes", rows=stages.rows["signed"])
     leads = (full.join(classes, ["one", "two"]).where("doc_id = lead")
              .select("doc_id", "one", F.explode("bands").alias("band")))
     shared = (leads.groupBy("band").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"),
                                         F.count(F.lit(1)).alias("mates")).where("low < high"))
+    # Written, here and for the hubs, so that Spark can split the rows of a hot band or cluster in the join.
+    shared = stages.cut(shared, "shared")
     mates = stages.cut(leads.join(shared, "band").select("doc_id", "one", "low", "mates"), "mates")
-    clusters = components(mates.select(F.col("doc_id").alias("a"), F.col("low").alias("b")), stages, "clusters")
+    clusters = components(mates.select(F.col("doc_id").alias("a"), F.col("low").alias("b")), stages, "clusters", rows=stages.rows["mates"])
     asked = (mates.groupBy("doc_id").agg(F.collect_set("one").alias("asked"), F.sum("mates").alias("central"))
              .join(clusters.withColumnRenamed("node", "doc_id").withColumnRenamed("component", "cluster"), "doc_id"))
-    asked = stages.cut(asked, "asked")
+    asked = stages.cut(asked, "asked", rows=stages.rows["mates"])
     # The one join that moves every text; by merging at any size, so that small inputs foretell large ones.
     sets = stages.cut(documents.join(asked.hint("merge"), "doc_id").mapInArrow(_gather(sets_of), _SETS).dropDuplicates(["doc_id", "one"]), "sets")
     links = _links(sets, asked.select("doc_id", "central"), percent, stages)
-    ends = components(links, stages, "ends").withColumnRenamed("node", "lead")
+    ends = components(links, stages, "ends", rows=stages.rows["links"]).withColumnRenamed("node", "lead")
     nodes = (found.where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "n_shingles", "one", "two")
              .join(classes, ["one", "two"]).join(ends, "lead", "left")
              .select("doc_id", "n_shingles", F.coalesce("component", "lead").alias("component_id")))
@@ -250,7 +254,7 @@ def _links(sets: DataFrame, central: DataFrame, percent: int, stages: StageArea)
     """
     size = F.size("shingles")
     state = sets.join(central, "doc_id").withColumns({"star": F.lit(0), "close": F.array().cast("array<int>")})
-    state = stages.cut(state.select("doc_id", "cluster", "one", "shingles", "signature", "central", "star", "close"), "state-0")
+    state = stages.cut(state.select("doc_id", "cluster", "one", "shingles", "signature", "central", "star", "close"), "state-0", rows=WIDE * stages.rows["sets"])
     links: list[DataFrame] = []
     step, left = 0, stages.rows["state-0"]
     while left:
@@ -259,7 +263,7 @@ def _links(sets: DataFrame, central: DataFrame, percent: int, stages: StageArea)
         hub = open_.groupBy("cluster").agg(F.max(F.struct("central", F.negative("doc_id").alias("back"), "one")).alias("h"))
         hub = state.join(hub.select("cluster", F.negative("h.back").alias("doc_id"), F.col("h.one").alias("one")),
                          ["cluster", "doc_id", "one"])
-        hub = hub.select("cluster", F.col("doc_id").alias("hub"), F.col("shingles").alias("hub_set"))
+        hub = stages.cut(hub.select("cluster", F.col("doc_id").alias("hub"), F.col("shingles").alias("hub_set")), f"hub-{step}", rows=stages.rows["sets"])
         small, large = F.least(size, F.size("hub_set")), F.greatest(size, F.size("hub_set"))
         # A row that has a star is only asked for links, an open one also whether it is close.
         least = F.when(F.col("star") == 0, 2 * percent - 100).otherwise(percent)
@@ -276,7 +280,7 @@ def _links(sets: DataFrame, central: DataFrame, percent: int, stages: StageArea)
                                F.when((F.col("star") == 0) & F.col("near") & ~F.col("linked"), F.array_append("close", F.lit(step)))
                                .otherwise(F.col("close")).alias("close"),
                                F.when(F.col("linked"), F.col("hub")).alias("by"))
-        tested = stages.cut(tested, f"state-{step}")
+        tested = stages.cut(tested, f"state-{step}", rows=WIDE * stages.rows["sets"])
         links.append(tested.where("by IS NOT NULL AND by <> doc_id").select(F.col("doc_id").alias("a"), F.col("by").alias("b")))
         state = tested.drop("by")
         counts = state.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("star") == 0).alias("u"))
@@ -291,21 +295,22 @@ def _links(sets: DataFrame, central: DataFrame, percent: int, stages: StageArea)
     for more in links:
         out = out.unionByName(more)
     if left or step > 1:  # one star that has all rows needs nothing more
-        out = out.unionByName(_between(state, out, percent, stages))
-    return stages.cut(out, "links")
+        out = out.unionByName(_between(state, out, percent, stages, step))
+    return stages.cut(out, "links", rows=step * stages.rows["sets"])
 
 
-def _between(state: DataFrame, known: DataFrame, percent: int, stages: StageArea) -> DataFrame:
+def _between(state: DataFrame, known: DataFrame, percent: int, stages: StageArea, step: int) -> DataFrame:
     """Links between stars that the known ones leave apart, and of rows without a star."""
-    labels = components(known, stages, "hubs").select(F.col("node").alias("doc_id"), "component")
+    n = stages.rows["sets"]
+    labels = components(known, stages, "hubs", rows=step * n).select(F.col("node").alias("doc_id"), "component")
     marked = (state.select("cluster", "doc_id", "one", "star", "close").join(labels, "doc_id", "left")
               .select("cluster", "doc_id", "one", "star", "close", F.coalesce("component", "doc_id").alias("label")))
-    marked = stages.cut(marked, "marked")
+    marked = stages.cut(marked, "marked", rows=n)
     stars = marked.groupBy("cluster", "star").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("home"))
     asked = F.explode(F.when(F.col("star") == 0, F.array_append("close", F.lit(0))).otherwise(F.col("close")))
     asks = (marked.select("cluster", "doc_id", "one", "label", asked.alias("star")).join(stars, ["cluster", "star"])
             .where("CASE WHEN star = 0 THEN n > 1 ELSE label <> home END"))
-    asks = stages.cut(asks.select("cluster", "star", "doc_id", "one", "label", "n"), "asks")
+    asks = stages.cut(asks.select("cluster", "star", "doc_id", "one", "label", "n"), "asks", rows=step * n)
     counts = (asks.groupBy("cluster", "star").agg(F.count(F.lit(1)).alias("u"), F.max("n").alias("n"))
               .select("cluster", "star", F.ceil(F.col("n") / TILE).alias("rows"), F.ceil(F.col("u") / TILE).alias("columns")))
     spread = F.xxhash64("doc_id", "one")

@@ -283,7 +283,7 @@ def search(index: Index, documents: DataFrame, items: DataFrame, stages: StageAr
              .groupBy("term").agg(F.sum("documents").alias("df")))
     weight = F.floor(1000 * F.log(F.lit(2.0 * index.documents + 2) / (2 * F.col("df") + 1).cast("double"))).cast("long")
     weights = stages.cut(queried.join(known, "term").select("query", "term", (F.col("times") * weight).alias("weight"))
-                         .where("weight > 0"), "query-weights")
+                         .where("weight > 0"), "query-weights", rows=stages.rows["query-terms"])
     blocks = index.rows.where("slices IS NOT NULL").drop("term", "documents")
     rounds = -(-stages.rows["query-weights"] // QUERY_TERMS)
     by_score = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"), "copy")
@@ -297,16 +297,16 @@ def search(index: Index, documents: DataFrame, items: DataFrame, stages: StageAr
         first = (blocks.mapInArrow(_best(queries, index, 2 * k), "query long, bound long, doc_id long, copy long")
                  .withColumn("n", F.row_number().over(high)).where(F.col("n") <= 2 * k)
                  .groupBy("doc_id", "copy").agg(F.collect_set("query").alias("queries")))
-        first = stages.cut(first, f"probes-{r}")
+        first = stages.cut(first, f"probes-{r}", rows=2 * k * len(queries.ids))
         tried = _scored(docs, first, queries, index, stages.rows[f"probes-{r}"] + 2 * k * len(queries.ids))
         kth = tried.withColumn("n", F.row_number().over(by_score)).where(F.col("n") == k)
         least = {x["query"]: x["score"] for x in kth.select("query", "score").collect()}  # a number for each query
         # Equal rows have equal signatures, so they ask the same.
         candidates = blocks.mapInArrow(_possible(queries, least, index), "doc_id long, copy long, queries array<long>")
-        candidates = stages.cut(candidates.dropDuplicates(["doc_id", "copy"]), f"candidates-{r}")
+        candidates = stages.cut(candidates.dropDuplicates(["doc_id", "copy"]), f"candidates-{r}", rows=index.documents)
         size = candidates.agg(F.coalesce(F.sum(F.size("queries") + 1), F.lit(0))).first()[0]
         scored = _scored(docs, candidates, queries, index, size).withColumn("rank", F.row_number().over(by_score))
-        results.append(stages.cut(scored.where(F.col("rank") <= k), f"results-{r}"))
+        results.append(stages.cut(scored.where(F.col("rank") <= k), f"results-{r}", rows=k * len(queries.ids)))
     if not results:
         return asked.where("false").select("item_id", F.lit(1).alias("rank"), F.lit(1).cast("long").alias("doc_id"), F.lit(1).cast("long").alias("score"))
     found = results[0]
