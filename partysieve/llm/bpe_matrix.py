@@ -20,6 +20,8 @@ from partysieve.llm.words import small_batches
 REMEMBERED = 200_000
 #: Cells of a matrix.
 CELLS = 1 << 21
+#: Pieces with more bytes are a matrix of their own, of rows of SPAN symbols.
+LONG, SPAN = 2048, 256
 _NONE = np.int32(1 << 30)
 
 
@@ -90,6 +92,8 @@ class Codec:
             whole = self._ids.get(piece)
             if whole is not None:
                 out[i] = [whole]
+            elif len(piece) > LONG:
+                out[i] = self._merged_long(piece)
             else:
                 buckets.setdefault(max(4, 1 << (len(piece) - 1).bit_length()), []).append(i)
         for width, members in sorted(buckets.items()):
@@ -133,6 +137,49 @@ class Codec:
             rank[rows[left], at[left] - 1] = self._at(ids, rows[left], at[left] - 1)
         return out
 
+    def _merged_long(self, piece: bytes) -> list[int]:
+        """The ids of one long piece: the same merges in the same order, but a round only looks at what changed.
+
+        The ranks lie in rows of SPAN places with their least value beside them, so that the leftmost least pair is found in two
+        steps. A merge leaves a gap; when half of the places are gaps, they are closed.
+        """
+        ids = self._byte[np.frombuffer(piece, np.uint8)]
+        while True:
+            n = len(ids)
+            rows = -(-n // SPAN)
+            rank = np.full((rows, SPAN), _NONE, np.int32)
+            flat = rank.reshape(-1)
+            flat[:n - 1] = self._pairs.find(ids[:-1], ids[1:])
+            low = rank.min(axis=1)
+            own, after, before = ids.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+            gaps = 0
+            while 2 * gaps < n:
+                row = int(low.argmin())
+                best = int(low[row])
+                if best == _NONE:
+                    break
+                at = row * SPAN + int(rank[row].argmin())
+                gone = after[at]
+                after[at] = to = after[gone]
+                own[at], own[gone], flat[gone] = best, -1, _NONE
+                flat[at] = _NONE
+                if to < n:
+                    before[to] = at
+                    flat[at] = self._rank(own[at], own[to])
+                changed = {row, gone // SPAN}
+                if (left := before[at]) >= 0:
+                    flat[left] = self._rank(own[left], best)
+                    changed.add(left // SPAN)
+                for r in changed:
+                    low[r] = rank[r].min()
+                gaps += 1
+            ids = np.array([x for x in own if x >= 0], np.int32)
+            if len(ids) < 2 or best == _NONE:
+                return ids.tolist()
+
+    def _rank(self, left: int, right: int) -> int:
+        return self._ids.get(self.tokens[left] + self.tokens[right], int(_NONE))
+
     def _ranks(self, ids: np.ndarray) -> np.ndarray:
         out = np.full(ids.shape, _NONE, np.int32)
         both = ids[:, 1:] >= 0
@@ -207,7 +254,7 @@ def encoded(documents: DataFrame, path: str, pattern: str, text: str = "text") -
 def digests(documents: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row doc_id, n_tokens, ids_sha256, decoded_sha256.
 
-    Each text is encoded and decoded whole, in one pass without a shuffle. A null or empty text has
+    Each text is encoded and decoded whole, however long it or a piece of it is, in one pass without a shuffle. A null or empty text has
     no ids; the digests are then those of nothing. Rows with null or repeated ids are rows like
     any other; other columns are ignored, whatever their names.
     """

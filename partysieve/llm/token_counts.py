@@ -114,7 +114,7 @@ def count_tokens(documents: DataFrame, path: str, pattern: str, limit: int = 512
                  doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row doc_id, n_bytes, n_tokens, over_limit (more than `limit` tokens).
 
-    Each text is counted whole, by itself, in one pass without a shuffle. A null or empty text has
+    Each text is counted whole, however long, by itself, in one pass without a shuffle. A null or empty text has
     no tokens; rows with null or repeated ids are counted like any other. `path` is a vocabulary
     file that every executor has. Other columns are ignored, whatever their names.
     """

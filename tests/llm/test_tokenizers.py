@@ -67,3 +67,24 @@ def test_empty(spark):
     none = documents(spark).where("false")
     assert token_counts.count_tokens(none, JSON, PATTERN).collect() == []
     assert bpe_matrix.digests(none, RANKS, PATTERN).collect() == []
+
+
+@pytest.mark.parametrize("alphabet", ["abcdefghijklmnopqrstuvwxyz", "ab", "the rain in".replace(" ", ""), "漢字éx"])
+def test_long_pieces(monkeypatch, libraries, alphabet):
+    """Unbroken runs of letters: the merges of long pieces are those of short ones, and of the library."""
+    import time
+
+    draw = random.Random(len(alphabet))
+    codec = bpe_matrix.codec(RANKS, PATTERN)
+    for size in (3, 700, 2100, 5000):
+        text = "".join(draw.choice(alphabet) for _ in range(size))
+        want = libraries[1].encode_ordinary(text)
+        assert codec.encode(text) == want
+        monkeypatch.setattr(bpe_matrix, "LONG", 2)
+        assert codec.encode_pieces([text.encode()])[0] == want
+        monkeypatch.undo()
+    text = "".join(draw.choice(alphabet) for _ in range(32_000))
+    start = time.perf_counter()
+    found = codec.encode(text)
+    assert time.perf_counter() - start < 10  # by rounds over the whole row it took more than that even on an idle machine
+    assert codec.decode(found).decode() == text
