@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from partysieve.catalog.fixtures import FIXTURE_PACK as PACK
 from partysieve.catalog.fixtures import dimensions, extract
 from partysieve.operators.counts import affected_rows, rule_counts
+from partysieve.operators.counts import RULES
 from partysieve.operators.ids import next_ids, renumber
 from partysieve.plans import run
 from partysieve.schema import DIMENSIONS, PARTY_POLICY, WORKING_COLUMNS
 from partysieve.sources import sinks
-from partysieve.operators.counts import RULES
 from partysieve.sources.audit import AuditTrail
 from partysieve.sources.stages import StageArea, checkpoint_root
-from partysieve.sources.tables import load_tables, read_table
+from partysieve.sources.tables import check_parallel, load_tables, read_table
 
 SF = "/root/testdata/sf0.001"
 
@@ -227,3 +227,41 @@ def test_second_run_of_the_party_steps(spark, stages):
     assert second.where(copies).count() == holders.first()[0]
     rest = F.coalesce(~copies, F.lit(True))
     assert second.where(rest).count() == first.where(rest).count() > 0
+
+
+def test_a_large_jdbc_table_needs_bounds():
+    whole = {"format": "jdbc", "url": "jdbc:x", "dbtable": "t"}
+    bounds = {"partitionColumn": "id", "lowerBound": "0", "upperBound": "9", "numPartitions": "4"}
+    with pytest.raises(ValueError, match="partitionColumn, lowerBound, upperBound, numPartitions"):
+        check_parallel(whole)
+    with pytest.raises(ValueError, match="upperBound"):
+        check_parallel(whole | {k: v for k, v in bounds.items() if k != "upperBound"})
+    for fine in (whole | bounds, whole | {"numPartitions": 1}, "raw.table", "/path/t", {"format": "parquet", "path": "/t"}):
+        check_parallel(fine)
+
+
+def test_job_file(spark, tmp_path):
+    """The whole job from a file: sources by path, a pack with its overrides, audit and versions."""
+    import json
+    from dataclasses import asdict
+
+    from partysieve.__main__ import read_job, run_job
+
+    extract(spark, SF).write.parquet(str(tmp_path / "fact"))
+    dims, sources = dimensions(spark, SF), {"party_policy": str(tmp_path / "fact")}
+    for name in DIMENSIONS:
+        sources[name] = str(tmp_path / name)
+        getattr(dims, name).write.parquet(sources[name])
+    job = {"sources": sources, "pack": asdict(PACK), "audit": str(tmp_path / "audit"), "target": str(tmp_path / "out"), "keep_versions": 1}
+    (tmp_path / "job.json").write_text(json.dumps(job, indent=1))
+    found = read_job(spark, str(tmp_path / "job.json"))
+    version = run_job(spark, found)
+    assert sinks.versions(spark, job["target"]) == [version]
+    want = run.run(extract(spark, SF), dims, PACK, StageArea(spark, str(tmp_path / "s")))
+    got = sinks.read_published(spark, job["target"])
+    assert got.drop("version").exceptAll(want).isEmpty() and got.count() == want.count()
+    assert spark.read.parquet(job["audit"]).where("entry = 'RUN - END'").count() == 1
+    with pytest.raises(ValueError, match="targett"):
+        run_job(spark, found | {"targett": "x"})
+    with pytest.raises(FileNotFoundError):
+        read_job(spark, str(tmp_path / "none.json"))
