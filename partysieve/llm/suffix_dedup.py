@@ -107,43 +107,123 @@ def _rest(text: bytes, spans: list[tuple[int, int]]) -> str:
 _WORDS = re.compile(rb"(?:\A[\t-\r ]+)?[^\t-\r ]+[\t-\r ]*")
 
 
+_ROW = ("doc_id", "copy", "start", "windows", "anchor", "right", "left")
+
+
+class _Group:
+    """What is known of the suffixes of one minimiser so far, in one partition."""
+
+    def __init__(self, first: dict[str, int], is_first: bool):
+        self.first, self.is_first = first, is_first
+        self.last, self.low, self.high, self.classes = first, first["doc_id"], first["doc_id"], 0
+        self.waiting: list[dict[str, np.ndarray]] = []  # of the least documents, until blocks are known to differ
+
+    @property
+    def fork(self) -> bool:
+        return self.classes > 1 and self.low < self.high
+
+
 def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Decide the suffixes of one sorted partition by comparing each with the one before it."""
-    parts = [b for b in batches if b.num_rows]
-    if not parts:
-        return
-    rows = pa.Table.from_batches(parts).combine_chunks()
-    of = {c: rows.column(c).to_numpy() for c in rows.column_names}
-    n = rows.num_rows
-
-    def fresh(*names: str) -> np.ndarray:
-        out = np.ones(n, bool)
-        out[1:] = np.logical_or.reduce([of[c][1:] != of[c][:-1] for c in names])
-        return out
-
-    group_start, class_start = fresh("anchor"), fresh(*passages.SAME)
-    group, kind_of = np.cumsum(group_start) - 1, np.cumsum(class_start) - 1
-    docs = of["doc_id"]
-    lead = docs[np.flatnonzero(class_start)][kind_of]
-    first = np.flatnonzero(group_start)
-    classes = np.add.reduceat(class_start.astype(np.int64), first)[group]
-    low, high = np.minimum.reduceat(docs, first)[group], np.maximum.reduceat(docs, first)[group]
-    fork = (classes > 1) & (low < high)
-    # A class that goes on in later partitions does so with larger documents; only the first class
-    # here may have a smaller one in an earlier partition. A group may go on on both sides.
-    edge = (group == 0) | (group == group[-1])
-    whole = docs > lead
-    unsure = ~whole & edge & (~fork | (kind_of == 0))
-    part = ~whole & ~unsure & fork
-    kinds = np.full(n, "", dtype="<U5")
-    kinds[whole], kinds[part], kinds[unsure] = "whole", "part", "open"
-    take = np.flatnonzero(kinds != "")
-    ends = np.array(sorted({i for g in (0, group[-1]) for i in (first[g], np.flatnonzero(group == g)[-1])}))
-    take, kinds = np.concatenate([take, ends]), [*kinds[take].tolist(), *["end"] * len(ends)]
-    of["doc_id"] = np.concatenate([docs[take[:-len(ends)]], lead[ends]])
-    names = ["doc_id", "copy", "start", "windows", "anchor", "right", "left"]
-    out = pa.RecordBatch.from_arrays(
-        [pa.array(of["doc_id"]), *(pa.array(of[c][take]) for c in names[1:]), pa.array(low[take]), pa.array(high[take]),
-         pa.array(kinds, pa.string())], names=[*names, "low", "high", "kind"])
-    for at in range(0, out.num_rows, 50_000):
-        yield out.slice(at, 50_000)
+    """Decide the suffixes of one sorted partition by comparing each with the one before it.
+
+    Batches stream through: of a minimiser whose suffixes go on, only those of one document wait. The first and the last
+    minimiser of the partition may go on in another one: what is not certain of them is left open, and their end rows tell what is here.
+    """
+    group: _Group | None = None
+    before: dict[str, int] | None = None  # the row before, with the least document of its class as lead
+    first_class = True
+    out: list[tuple[str, dict[str, np.ndarray], int, int]] = []
+
+    def take(rows: dict[str, np.ndarray], which: np.ndarray) -> dict[str, np.ndarray]:
+        return {c: rows[c][which] for c in _ROW}
+
+    def decided() -> Iterator[pa.RecordBatch]:
+        for kind, rows, low, high in out:
+            n = len(rows["doc_id"])
+            for at in range(0, n, 50_000):
+                part = [pa.array(rows[c][at:at + 50_000], pa.int32() if c in ("start", "windows") else pa.int64()) for c in _ROW]
+                k = len(part[0])
+                yield pa.RecordBatch.from_arrays([*part, pa.array(np.full(k, low)), pa.array(np.full(k, high)), pa.array([kind] * k, pa.string())],
+                                                 names=[*_ROW, "low", "high", "kind"])
+        out.clear()
+
+    def end(row: dict[str, int]) -> None:
+        out.append(("end", {c: np.array([row["lead" if c == "doc_id" else c]]) for c in _ROW}, group.low, group.high))
+
+    def close(is_last: bool) -> None:
+        if group.is_first or is_last:
+            for rows in group.waiting:
+                out.append(("open", rows, group.low, group.high))
+            end(group.first)
+            end(group.last)
+
+    def absorb(rows: dict[str, np.ndarray], fresh: np.ndarray, lead: np.ndarray, a: int, b: int) -> None:
+        """Rows a to b go on with the current group."""
+        nonlocal first_class
+        docs = rows["doc_id"][a:b]
+        group.low, group.high = min(group.low, int(docs.min())), max(group.high, int(docs.max()))
+        group.classes += int(fresh[a:b].sum())
+        group.last = {c: int(rows[c][b - 1]) for c in _ROW} | {"lead": int(lead[b - 1])}
+        own = a + np.flatnonzero(docs == lead[a:b])
+        if first_class:  # its least document may be in an earlier partition
+            starts = a + np.flatnonzero(fresh[a:b])
+            later = [x for x in starts.tolist() if not (a == 0 and before is None and x == 0)]
+            until = later[0] if later else b
+            out.append(("open", take(rows, own[own < until]), group.low, group.high))
+            own = own[own >= until]
+            first_class = not later
+        if len(own):
+            group.waiting.append(take(rows, own))
+        if group.fork:
+            for waiting in group.waiting:
+                out.append(("part", waiting, group.low, group.high))
+            group.waiting = []
+
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        rows = {c: batch.column(c).to_numpy(False).astype(np.int64) for c in _ROW}
+
+        def changed(*names: str) -> np.ndarray:
+            new = np.zeros(n, bool)
+            for c in names:
+                new[1:] |= rows[c][1:] != rows[c][:-1]
+                new[0] |= before is None or int(rows[c][0]) != before[c]
+            return new
+
+        fresh, begins = changed(*passages.SAME), np.flatnonzero(changed("anchor"))
+        place = np.maximum.accumulate(np.where(fresh, np.arange(n), -1))
+        lead = np.where(place >= 0, rows["doc_id"][place], before["lead"] if before else 0)
+        whole = rows["doc_id"] > lead
+        if whole.any():
+            out.append(("whole", take(rows, np.flatnonzero(whole)), 0, 0))
+        edges = [0, *begins[begins > 0].tolist(), n]
+        if group is None or (len(begins) and begins[0] == 0):
+            if group is not None:
+                close(False)
+                first_class = False
+            group = _Group({c: int(rows[c][0]) for c in _ROW} | {"lead": int(rows["doc_id"][0])}, group is None)
+        absorb(rows, fresh, lead, 0, edges[1])
+        if len(edges) > 2:
+            close(False)
+            first_class = False
+            inner = np.array(edges[1:-1])  # where groups begin; all but the last end in this batch
+            if len(inner) > 1:
+                span = slice(inner[0], inner[-1])
+                at = inner[:-1] - inner[0]
+                sizes = np.diff(inner)
+                classes = np.add.reduceat(fresh[span].astype(np.int64), at)
+                low, high = np.minimum.reduceat(rows["doc_id"][span], at), np.maximum.reduceat(rows["doc_id"][span], at)
+                fork = np.repeat((classes > 1) & (low < high), sizes)
+                parts = inner[0] + np.flatnonzero(fork & ~whole[span])
+                if len(parts):
+                    out.append(("part", take(rows, parts), 0, 0))
+            a = int(inner[-1])
+            group = _Group({c: int(rows[c][a]) for c in _ROW} | {"lead": int(rows["doc_id"][a])}, False)
+            absorb(rows, fresh, lead, a, n)
+        before = {c: int(rows[c][n - 1]) for c in _ROW} | {"lead": int(lead[n - 1])}
+        yield from decided()
+    if group is not None:
+        close(True)
+        yield from decided()

@@ -7,6 +7,7 @@ import pytest
 from odd import DOCUMENTS, documents, rows, words
 
 from partysieve.llm import passages, seed_extend, suffix_dedup
+from partysieve.llm import words as words_
 
 OPERATORS = [suffix_dedup, seed_extend]
 
@@ -47,6 +48,7 @@ def test_random_overlaps(spark, monkeypatch, operator, seed, group):
     """Passages that overlap, repeat within a document, have edits, and few different words; extended, compared by hash, or both."""
     monkeypatch.setattr(passages, "GROUP", group)
     monkeypatch.setattr(passages, "ROWS", 50)
+    monkeypatch.setattr(words_, "BATCH_ROWS", 40 if seed == 1 else 500)
     draw = random.Random(seed)
     pool = [f"w{i}" for i in range(draw.choice([3, 400]))]
     base = [[draw.choice(pool) for _ in range(draw.randint(30, 160))] for _ in range(6)]
@@ -116,3 +118,30 @@ def test_extension(sorted_):
     table = pa.Table.from_arrays([pa.array(c) for c in zip(*packed)], names=["anchor", "doc_id", "copy", "start", "after", "before"])
     got = pa.Table.from_batches(list(passages.extended(50, sorted_)(iter(table.to_batches(max_chunksize=4)))))
     assert set(zip(*(c.to_pylist() for c in got.columns))) == want and want
+
+
+def test_neighbours_stream():
+    """The same decisions whatever the batches are, and those of whole groups inside the partition."""
+    import pyarrow as pa
+
+    draw = random.Random(8)
+    found = sorted((draw.randrange(12), draw.randrange(2), draw.randrange(2), draw.randrange(3), 0, i) for i in range(120))
+    names = ["anchor", "right", "left", "doc_id", "copy", "start"]
+    columns = {n: pa.array(c, pa.int32() if n == "start" else pa.int64()) for n, c in zip(names, zip(*found))}
+    table = pa.table(columns | {"windows": pa.array([1] * len(found), pa.int32())})
+
+    def run(size):
+        out = pa.Table.from_batches(list(suffix_dedup.neighbours(iter(table.to_batches(max_chunksize=size)))))
+        return sorted(zip(*(out.column(c).to_pylist() for c in ("kind", "anchor", "right", "left", "doc_id", "start"))))
+
+    want = run(1000)
+    for size in (1, 2, 3, 7, 20):
+        assert run(size) == want
+    first, last = found[0][0], found[-1][0]
+    for anchor in {f[0] for f in found} - {first, last}:
+        group = [f for f in found if f[0] == anchor]
+        fork = len({f[:3] for f in group}) > 1 and len({f[3] for f in group}) > 1
+        lead = {k: min(f[3] for f in group if f[:3] == k) for k in {f[:3] for f in group}}
+        expected = [("whole" if f[3] > lead[f[:3]] else "part", *f[:4], f[5]) for f in group if f[3] > lead[f[:3]] or fork]
+        assert [w for w in want if w[1] == anchor] == sorted(expected)
+    assert {w[0] for w in want if w[1] in (first, last)} >= {"open", "end"}
