@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 from xxhash import xxh64_intdigest
 
 #: Bytes of text that one numpy step takes together; a longer text is a step of its own.
-STEP_BYTES = 4_000_000
+STEP_BYTES = 1_000_000
 #: Rows and bytes of an Arrow batch between the JVM and a Python worker; they bound both sides' memory.
 BATCH_ROWS, BATCH_BYTES = 500, 8 << 20
 
