@@ -71,3 +71,23 @@ def test_reputation_shrinks(spark):
 def test_ties(spark, rules):
     got = h.judge(spark.createDataFrame([(1, "http://b.com/xy")], "page_id long, url string"), rules).first()
     assert (got["rule"], got["verdict"]) == ("b.com/x", dict(map(reversed, rules))["b.com/x"] if len({r for _, r in rules}) == 2 else "block")
+
+
+def test_hot_host(spark):
+    """Half of all pages are of one host, and one domain has most hosts: each page has its host's verdict."""
+    urls = [f"http://hot.big.com/{i}" for i in range(300)] + [f"http://h{i}.big.com/x" for i in range(200)] + [f"http://s{i}.org/x" for i in range(100)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(6)
+    labelled = spark.createDataFrame([(u, 1) for u in urls[:120]] + [(u, 0) for u in urls[400:600]], "url string, bad int")
+    got = h.judge(pages, (), labelled=labelled).collect()
+    assert sorted(r["page_id"] for r in got) == list(range(600))
+    known = {}
+    for r in got:
+        known.setdefault(r["host"], set()).add((r["verdict"], r["mean_ppm"], r["bound_ppm"]))
+    assert len(known) == 301 and all(len(x) == 1 for x in known.values())
+    assert [x[0] for x in known["hot.big.com"]] == ["block"] and {x[0] for k, v in known.items() if k.startswith("s") for x in v} == {"allow"}
+
+
+def test_own_second_level(spark):
+    frame = spark.createDataFrame([("a.b.gv.at",)], "host string")
+    assert frame.select(*h.domain_of(F.col("host"))).first() == ("gv.at", "at")
+    assert frame.select(*h.domain_of(F.col("host"), ("gv",))).first() == ("b.gv.at", "gv.at")
