@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from partysieve.functions.text import append_text, is_like
-from partysieve.operators.counts import copied, marks
+from partysieve.operators.counts import MARKS, copied, marks
 
 TRACE = "rule_trace"
 
@@ -23,6 +23,10 @@ def rewrite_where(
     condition leaves the row alone. Values take the type of the column they replace.
     In a run that counts, the row also notes the `rule`.
     """
+    if rule and MARKS in df.columns:
+        # Read several times, so that Spark keeps it as a column and does not nest the rules before in each use.
+        df = df.withColumn("_acts", F.coalesce(where, F.lit(False)))
+        where = F.col("_acts")
     changes = dict(sets)
     if code is not None:
         changes[TRACE] = append_text(F.col(TRACE), code)
@@ -30,7 +34,7 @@ def rewrite_where(
     return df.withColumns({
         name: F.when(where, value.cast(types[name])).otherwise(F.col(name))
         for name, value in changes.items()
-    } | (marks(df, {rule: where}) if rule else {}))
+    } | (marks(df, {rule: where}) if rule else {})).drop("_acts")
 
 
 def copy_rows(df: DataFrame, where: Column, sets: Mapping[str, Column], rule: str | None = None) -> DataFrame:
