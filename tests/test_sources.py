@@ -81,6 +81,70 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
             checkpoint_root(session(root))
 
 
+def test_a_mount_that_all_share_is_taken(spark, tmp_path, monkeypatch):
+    """A cluster's folder may have the scheme file: if tasks and the driver see the same files there."""
+    from partysieve.sources import stages as module
+
+    monkeypatch.setattr(module, "_SETTING", "partysieve.test.folder")
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    spark.conf.set("partysieve.test.folder", f"file://{tmp_path}/")
+    try:
+        area = StageArea(spark)
+        assert area.path.startswith(f"file://{tmp_path}/run-")
+        assert area.cut(spark.range(100).toDF("x"), "a").count() == 100
+        assert [p.name for p in tmp_path.iterdir()] == [area.path.rpartition("/")[2]]  # the trial is gone
+        (tmp_path / "taken").write_text("")
+        spark.conf.set("partysieve.test.folder", f"file://{tmp_path}/taken")
+        with pytest.raises(ValueError, match="a trial failed"):
+            checkpoint_root(spark)
+    finally:
+        spark.conf.unset("partysieve.test.folder")
+
+
+APART = """
+import sys
+from pyspark.sql import SparkSession
+from partysieve.sources.stages import StageArea
+
+spark = SparkSession.builder.config(map={
+    "spark.master": "local-cluster[2,1,1024]", "spark.driver.host": "127.0.0.1", "spark.ui.enabled": "false",
+    "spark.sql.warehouse.dir": sys.argv[1]} | ({"spark.checkpoint.dir": sys.argv[2]} if sys.argv[2:] else {})).getOrCreate()
+try:
+    area = StageArea(spark)
+    print("ROWS", area.cut(spark.range(0, 100, 1, 8).toDF("x"), "a").count(), area.path)
+except ValueError as error:
+    print("REFUSED", error)
+spark.stop()
+"""
+
+
+@pytest.mark.parametrize("named", (None, "shared", "apart"))
+def test_executors_apart_lose_no_rows(tmp_path, named):
+    """Executors with temporary folders of their own: rows are written where all see them, or not at all."""
+    import importlib.util
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    repo = Path(__file__).resolve().parent.parent
+    for folder in ("home/work", "conf", "cwd/.tmp"):
+        (tmp_path / folder).mkdir(parents=True)
+    for p in Path(importlib.util.find_spec("pyspark").origin).parent.iterdir():  # executors work in Spark's home
+        if p.name not in ("work", "conf"):
+            (tmp_path / "home" / p.name).symlink_to(p)
+    env = {k: v for k, v in os.environ.items() if not k.startswith(("SPARK_", "PYSPARK_"))} | {
+        "SPARK_HOME": f"{tmp_path}/home", "SPARK_CONF_DIR": f"{tmp_path}/conf", "SPARK_LOCAL_IP": "127.0.0.1", "SPARK_SCALA_VERSION": "2.13",
+        "SPARK_LOCAL_DIRS": f"{tmp_path}/local", "PYTHONPATH": str(repo), "PYSPARK_PYTHON": sys.executable, "TMPDIR": "/proc/self/cwd/.tmp"}
+    folder = {None: [], "shared": [f"file://{tmp_path}/shared"], "apart": ["file:///proc/self/cwd/.tmp/stages"]}[named]
+    done = subprocess.run([sys.executable, "-c", APART, f"{tmp_path}/warehouse", *folder], env=env, cwd=tmp_path / "cwd", capture_output=True, text=True, timeout=180)
+    said = next((x.split(" ", 2) for x in done.stdout.splitlines() if x.startswith(("ROWS", "REFUSED"))), done.stderr[-2000:])
+    if named == "apart":
+        assert said[0] == "REFUSED" and "0 are found" in said[2], said
+    else:
+        assert said[:2] == ["ROWS", "100"] and f"{tmp_path}/{'shared' if named else 'warehouse'}/run-" in said[2], said
+
+
 def test_append_and_clear(spark, tmp_path):
     target, df = str(tmp_path / "t"), spark.createDataFrame([(1, "a", 2.0)], "x int, y string, z double")
     for _ in range(2):
