@@ -12,6 +12,7 @@ from partysieve.sources import stages
 QUERIES = (
     "agg_count_distinct_having",
     "agg_distinct_pairs",
+    "agg_distinct",
 )
 
 
