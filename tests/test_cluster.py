@@ -13,6 +13,7 @@ QUERIES = (
     "agg_count_distinct_having",
     "agg_distinct_pairs",
     "agg_distinct",
+    "agg_max_by",
 )
 
 
