@@ -19,6 +19,7 @@ QUERIES = (
     "agg_singletons",
     "blank_to_null",
     "clear_staging",
+    "audit_full_run",
 )
 
 
