@@ -20,6 +20,7 @@ QUERIES = (
     "blank_to_null",
     "clear_staging",
     "audit_full_run",
+    "delete_marked",
 )
 
 
