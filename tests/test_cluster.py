@@ -21,6 +21,7 @@ QUERIES = (
     "clear_staging",
     "audit_full_run",
     "delete_marked",
+    "copy_insured_by_name",
 )
 
 
