@@ -23,6 +23,7 @@ QUERIES = (
     "delete_marked",
     "copy_insured_by_name",
     "fixed_overrides",
+    "copy_insured_by_code",
 )
 
 
