@@ -12,6 +12,7 @@ from partysieve.catalog import fixtures
 
 QUERIES = (
     "agg_distinct_pairs",
+    "agg_distinct",
 )
 
 
