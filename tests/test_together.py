@@ -13,6 +13,7 @@ from partysieve.catalog import fixtures
 QUERIES = (
     "agg_distinct_pairs",
     "agg_distinct",
+    "agg_max_by",
 )
 
 
