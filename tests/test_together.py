@@ -18,6 +18,7 @@ QUERIES = (
     "audit_log",
     "agg_singletons",
     "blank_to_null",
+    "audit_full_run",
 )
 
 
