@@ -19,6 +19,7 @@ QUERIES = (
     "agg_singletons",
     "blank_to_null",
     "audit_full_run",
+    "delete_marked",
 )
 
 
