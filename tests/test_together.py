@@ -21,6 +21,7 @@ QUERIES = (
     "audit_full_run",
     "delete_marked",
     "copy_insured_by_name",
+    "fixed_overrides",
 )
 
 
