@@ -24,6 +24,7 @@ QUERIES = (
     "fixed_overrides",
     "copy_insured_by_code",
     "fn_case",
+    "documents_all",
 )
 
 
