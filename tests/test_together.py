@@ -25,6 +25,7 @@ QUERIES = (
     "copy_insured_by_code",
     "fn_case",
     "documents_all",
+    "fn_cast",
 )
 
 
