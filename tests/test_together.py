@@ -26,6 +26,7 @@ QUERIES = (
     "fn_case",
     "documents_all",
     "fn_cast",
+    "fn_text",
 )
 
 
