@@ -27,6 +27,7 @@ QUERIES = (
     "documents_all",
     "fn_cast",
     "fn_text",
+    "fn_null",
 )
 
 
