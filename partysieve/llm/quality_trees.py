@@ -177,7 +177,7 @@ def train(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     small_batches(spark)
     picked = (labels.select(F.col(label_id).cast("long").alias("doc_id"), F.col(quality).cast("int").alias("good")).dropna()
               .distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "good").limit(sample))
-    picked = spark.createDataFrame([tuple(r) for r in picked.collect()], "doc_id long, good int")
+    picked = spark.createDataFrame(picked.toArrow())  # rows as tuples would start Python processes that stay
     chosen = narrowed(documents, doc_id, text).join(F.broadcast(picked), "doc_id").withColumn("digest", F.xxhash64("text"))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -92,6 +92,10 @@ def without_spans(text: pa.Array, spans: pa.Array) -> pa.Array:
                      for t, own in zip(text.cast(pa.binary()).to_pylist(), spans.to_pylist())], pa.string())
 
 
+#: Else Spark moves a filter on the result below, and cuts every text a second time in Python processes of their own.
+without_spans = without_spans.asNondeterministic()
+
+
 def _rest(text: bytes, spans: list[tuple[int, int]]) -> str:
     """The text without the words of the spans and the white space after each of them."""
     gone = set()

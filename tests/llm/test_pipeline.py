@@ -57,6 +57,16 @@ def test_repeated_passages(spark, docs, plain):
         assert r["n_chars"] == len(r["text"]) or r["text"] in dict(plain).values()
 
 
+def test_repeated_passages_cut_texts_once(spark):
+    """A filter on the cut texts does not cut them again below."""
+    text = " ".join(f"w{i}" for i in range(60))
+    own = spark.createDataFrame([(1, text, 1), (2, text, 1), (3, f"before {text} after", 1)], "doc_id long, text string, n_chars long")
+    out = corpus_pipeline.repeated_passages(spark, own, SF)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert sorted((r["doc_id"], r["text"], r["n_chars"]) for r in out.collect()) == [(1, text, 1), (3, "before after", 12)]
+
+
 def test_mixture(spark, docs, plain):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
