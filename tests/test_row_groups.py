@@ -12,6 +12,7 @@ from partysieve.sources.stages import StageArea
 
 QUERIES = (
     "agg_distinct",
+    "agg_max_by",
 )
 
 
