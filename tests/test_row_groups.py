@@ -13,6 +13,7 @@ from partysieve.sources.stages import StageArea
 QUERIES = (
     "agg_distinct",
     "agg_max_by",
+    "agg_max_date",
 )
 
 
