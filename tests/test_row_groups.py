@@ -14,6 +14,7 @@ QUERIES = (
     "agg_distinct",
     "agg_max_by",
     "agg_max_date",
+    "audit_log",
 )
 
 
