@@ -15,6 +15,7 @@ QUERIES = (
     "agg_max_by",
     "agg_max_date",
     "audit_log",
+    "agg_singletons",
 )
 
 
