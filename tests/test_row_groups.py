@@ -16,6 +16,7 @@ QUERIES = (
     "agg_max_date",
     "audit_log",
     "agg_singletons",
+    "blank_to_null",
 )
 
 
