@@ -17,6 +17,7 @@ QUERIES = (
     "audit_log",
     "agg_singletons",
     "blank_to_null",
+    "delete_marked",
 )
 
 
