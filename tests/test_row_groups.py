@@ -19,6 +19,7 @@ QUERIES = (
     "blank_to_null",
     "delete_marked",
     "copy_insured_by_name",
+    "fixed_overrides",
 )
 
 
