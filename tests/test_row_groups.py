@@ -21,6 +21,7 @@ QUERIES = (
     "copy_insured_by_name",
     "fixed_overrides",
     "copy_insured_by_code",
+    "fn_case",
 )
 
 
