@@ -22,6 +22,7 @@ QUERIES = (
     "fixed_overrides",
     "copy_insured_by_code",
     "fn_case",
+    "documents_all",
 )
 
 
