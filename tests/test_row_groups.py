@@ -23,6 +23,7 @@ QUERIES = (
     "copy_insured_by_code",
     "fn_case",
     "documents_all",
+    "fn_cast",
 )
 
 
