@@ -24,6 +24,7 @@ QUERIES = (
     "fn_case",
     "documents_all",
     "fn_cast",
+    "fn_text",
 )
 
 
