@@ -25,6 +25,7 @@ QUERIES = (
     "documents_all",
     "fn_cast",
     "fn_text",
+    "fn_null",
 )
 
 
