@@ -26,6 +26,7 @@ QUERIES = (
     "fn_cast",
     "fn_text",
     "fn_null",
+    "fn_concat",
 )
 
 
