@@ -27,6 +27,7 @@ QUERIES = (
     "fn_text",
     "fn_null",
     "fn_concat",
+    "fn_substr",
 )
 
 
