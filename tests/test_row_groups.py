@@ -28,6 +28,7 @@ QUERIES = (
     "fn_null",
     "fn_concat",
     "fn_substr",
+    "fn_translate",
 )
 
 
