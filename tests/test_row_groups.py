@@ -29,6 +29,7 @@ QUERIES = (
     "fn_concat",
     "fn_substr",
     "fn_translate",
+    "audit_full_run",
 )
 
 
