@@ -57,7 +57,7 @@ def gone(spark, before: set[str]) -> bool:
     return False
 
 
-@pytest.mark.parametrize("name", ("audit_full_run",))
+@pytest.mark.parametrize("name", ("full_run", "audit_full_run"))
 def test_a_run_replaces_its_stages(spark, tables, tmp_path, area, monkeypatch, name):  # noqa: F811
     """Also where all joins are by shuffle."""
     monkeypatch.setattr(keyed, "BROADCAST_ROWS", 0)
