@@ -57,6 +57,13 @@ def gone(spark, before: set[str]) -> bool:
     return False
 
 
+def test_regimes_keep_one_narrow_stage(spark, tables, tmp_path, area, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(keyed, "BROADCAST_ROWS", 0)
+    run(spark, tables, tmp_path, "regimes_all")
+    found = left(area)
+    assert found.keys() == {"filled", "keyed"} and found["filled"][0] < 15
+
+
 @pytest.mark.parametrize("name", ("full_run", "audit_full_run"))
 def test_a_run_replaces_its_stages(spark, tables, tmp_path, area, monkeypatch, name):  # noqa: F811
     """Also where all joins are by shuffle."""
