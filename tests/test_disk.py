@@ -57,6 +57,12 @@ def gone(spark, before: set[str]) -> bool:
     return False
 
 
+def test_regions_keep_one_narrow_stage(spark, tables, tmp_path, area):  # noqa: F811
+    run(spark, tables, tmp_path, "regions_all")
+    found = left(area)
+    assert found.keys() == {"by-policy", "keyed"} and found["by-policy"][0] < 20
+
+
 def test_regimes_keep_one_narrow_stage(spark, tables, tmp_path, area, monkeypatch):  # noqa: F811
     monkeypatch.setattr(keyed, "BROADCAST_ROWS", 0)
     run(spark, tables, tmp_path, "regimes_all")
