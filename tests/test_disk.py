@@ -57,6 +57,11 @@ def gone(spark, before: set[str]) -> bool:
     return False
 
 
+def test_audit_log_clears_its_steps(spark, tables, tmp_path, area):  # noqa: F811
+    run(spark, tables, tmp_path, "audit_log")
+    assert left(area).keys() == {"audit"}
+
+
 def test_regions_keep_one_narrow_stage(spark, tables, tmp_path, area):  # noqa: F811
     run(spark, tables, tmp_path, "regions_all")
     found = left(area)
