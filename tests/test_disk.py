@@ -57,6 +57,17 @@ def gone(spark, before: set[str]) -> bool:
     return False
 
 
+@pytest.mark.parametrize("name", ("parent_holder_rows",))
+def test_shuffles_go_with_their_job(spark, tables, tmp_path, area, name):  # noqa: F811
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the extract is then derived by shuffles
+    before = shuffled(spark)
+    try:
+        run(spark, tables, tmp_path, name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert gone(spark, before)
+
+
 def test_audit_log_clears_its_steps(spark, tables, tmp_path, area):  # noqa: F811
     run(spark, tables, tmp_path, "audit_log")
     assert left(area).keys() == {"audit"}
