@@ -57,7 +57,7 @@ def gone(spark, before: set[str]) -> bool:
     return False
 
 
-@pytest.mark.parametrize("name", ("parent_holder_rows",))
+@pytest.mark.parametrize("name", ("parent_holder_rows", "src_load_tables"))
 def test_shuffles_go_with_their_job(spark, tables, tmp_path, area, name):  # noqa: F811
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the extract is then derived by shuffles
     before = shuffled(spark)
@@ -86,6 +86,11 @@ def test_regimes_keep_one_narrow_stage(spark, tables, tmp_path, area, monkeypatc
     assert found.keys() == {"filled", "keyed"} and found["filled"][0] < 15
 
 
+def test_the_copy_is_compressed(spark, tables, tmp_path, area):  # noqa: F811
+    run(spark, tables, tmp_path, "src_load_tables")
+    assert left(area)["theirs"][1] == {"ZSTD"}
+
+
 @pytest.mark.parametrize("name", ("full_run", "audit_full_run"))
 def test_a_run_replaces_its_stages(spark, tables, tmp_path, area, monkeypatch, name):  # noqa: F811
     """Also where all joins are by shuffle."""
