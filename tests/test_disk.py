@@ -57,7 +57,7 @@ def gone(spark, before: set[str]) -> bool:
     return False
 
 
-@pytest.mark.parametrize("name", ("parent_holder_rows", "src_load_tables"))
+@pytest.mark.parametrize("name", ("parent_holder_rows", "src_load_tables", "rule_r0041"))
 def test_shuffles_go_with_their_job(spark, tables, tmp_path, area, name):  # noqa: F811
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the extract is then derived by shuffles
     before = shuffled(spark)
@@ -91,6 +91,11 @@ def test_the_copy_is_compressed(spark, tables, tmp_path, area):  # noqa: F811
     assert left(area)["theirs"][1] == {"ZSTD"}
 
 
+def test_few_parents_leave_the_rows_in_place(spark, tables, tmp_path, area):  # noqa: F811
+    out = run(spark, tables, tmp_path, "rule_r0041")
+    assert "_salt" not in out._jdf.queryExecution().toString() and "keyed" in left(area)
+
+
 @pytest.mark.parametrize("name", ("full_run", "audit_full_run"))
 def test_a_run_replaces_its_stages(spark, tables, tmp_path, area, monkeypatch, name):  # noqa: F811
     """Also where all joins are by shuffle."""
