@@ -57,7 +57,7 @@ def gone(spark, before: set[str]) -> bool:
     return False
 
 
-@pytest.mark.parametrize("name", ("parent_holder_rows", "src_load_tables", "rule_r0041", "next_ids"))
+@pytest.mark.parametrize("name", ("parent_holder_rows", "src_load_tables", "rule_r0041", "next_ids", "rule_r040"))
 def test_shuffles_go_with_their_job(spark, tables, tmp_path, area, name):  # noqa: F811
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the extract is then derived by shuffles
     before = shuffled(spark)
