@@ -7,7 +7,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partysieve.sources.stages import file_system
+from partysieve.sources.stages import CODEC, file_system
 
 
 def append_columns(df: DataFrame, columns: Sequence[str], target: str) -> None:
@@ -28,7 +28,7 @@ def publish(df: DataFrame, target: str) -> str:
     write has left `_SUCCESS`; a half-written one is never read.
     """
     version = datetime.now(UTC).strftime("%Y%m%dT%H%M%S%f")
-    df.write.mode("errorifexists").parquet(f"{target}/version={version}")
+    df.write.mode("errorifexists").parquet(f"{target}/version={version}", compression=CODEC)
     return version
 
 

@@ -57,7 +57,7 @@ def gone(spark, before: set[str]) -> bool:
     return False
 
 
-@pytest.mark.parametrize("name", ("parent_holder_rows", "src_load_tables", "rule_r0041", "next_ids", "rule_r040"))
+@pytest.mark.parametrize("name", ("parent_holder_rows", "src_load_tables", "rule_r0041", "next_ids", "rule_r040", "publish_roundtrip"))
 def test_shuffles_go_with_their_job(spark, tables, tmp_path, area, name):  # noqa: F811
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the extract is then derived by shuffles
     before = shuffled(spark)
@@ -91,6 +91,11 @@ def test_regimes_keep_one_narrow_stage(spark, tables, tmp_path, area, monkeypatc
     assert found.keys() == {"filled", "keyed"} and found["filled"][0] < 15
 
 
+def test_one_version_is_left(spark, tables, tmp_path, area):  # noqa: F811
+    run(spark, tables, tmp_path, "publish_roundtrip")
+    assert len([*area.glob("*/published-*/version=*")]) == 1 and left(area)["published"][1] == {"ZSTD"}
+
+
 def test_the_copy_is_compressed(spark, tables, tmp_path, area):  # noqa: F811
     run(spark, tables, tmp_path, "src_load_tables")
     assert left(area)["theirs"][1] == {"ZSTD"}
